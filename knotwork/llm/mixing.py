@@ -56,8 +56,8 @@ def mix(docs: DataFrame, *, weights=WEIGHTS, share=1.5, most=2, salt: str = "mix
     Sizes are words; null or empty text has none and takes none. Only whole copies are taken, each document
     ``most`` times at most. The shuffle is an md5 order, ties by doc_id and then by the text's hash, so
     reruns agree; repeated rows are queued one after another. A null source is a source. Documents over
-    1/``coarse`` of their source's target are queued before the others, so that where the queue is cut, a
-    small one is at stake. No partition holds a source: running sums are by source and a prefix of the md5,
+    1/``coarse`` of their source's target are queued before the others, those of the largest power of two
+    first, so that where the queue is cut, a small one is at stake. No partition holds a source: running sums are by source and a prefix of the md5,
     offsets of the prefixes come from a table of their sums.
     """
     docs = docs.drop("size", "source_size", "target", "taken")
@@ -67,12 +67,14 @@ def mix(docs: DataFrame, *, weights=WEIGHTS, share=1.5, most=2, salt: str = "mix
     digits = max(1, min(8, math.ceil(math.log(max(n, 1) / 2_000 + 1, 16))))
     # one row per source: broadcast by adaptive execution if small, else joined
     queued = sized.join(per.withColumnRenamed("source", "_source"), F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
-    queued = queued.withColumns({"_key": shuffled_key(salt), "_late": (F.col("size") * coarse <= F.col("target")).cast("int")})
+    over = F.when(F.col("size") * coarse > F.col("target"), F.ceil(F.log2(F.col("size") * coarse / F.when(F.col("target") > 0, F.col("target")))))
+    tier = -F.coalesce(over, F.lit(0)).cast("int")
+    queued = queued.withColumns({"_key": shuffled_key(salt), "_tier": tier})
     queued = queued.withColumn("_part", F.substring("_key", 1, digits))
-    cell = ["rank", "_late", "_part"]
+    cell = ["rank", "_tier", "_part"]
     within = Window.partitionBy(*cell).orderBy("_key", "doc_id", F.xxhash64("text")).rowsBetween(Window.unboundedPreceding, 0)
     cells = queued.groupBy(*cell).agg(F.sum("size").alias("cell_size"))
-    before = Window.partitionBy("rank").orderBy("_late", "_part").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy("rank").orderBy("_tier", "_part").rowsBetween(Window.unboundedPreceding, -1)
     cells = cut(cells.withColumn("_offset", F.coalesce(F.sum("cell_size").over(before), F.lit(0))).drop("cell_size"))
     run = queued.withColumn("_in", F.sum("size").over(within)).join(cells, cell).withColumn("_end", F.col("_in") + F.col("_offset"))
 

@@ -1,3 +1,193 @@
-SQL = ""
-def digest(*a):
-    raise NotImplementedError
+"""Quality classifier: an interpolated modified Kneser-Ney n-gram model of trusted text.
+
+N-grams are over 64 symbol classes, four symbols long. Counts of all trusted text, continuation counts of
+the lower orders and the distinct n-grams of all documents are joined shard by shard, by n-gram; each
+document's perplexity is held against a quantile of trusted perplexities of its language.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from .common import cut
+
+ORDER, BITS = 4, 6
+CLASSES, SPACE_OF_CODES = 1 << BITS, 1 << (BITS * ORDER)
+
+
+def _classes() -> np.ndarray:
+    """Symbol class of each code point. 0 is before the text; letters of other alphabets share 24 classes."""
+    table = (40 + np.arange(0x110000) % 24).astype(np.uint8)
+    table[:128] = 39
+    for cls, chars in {1: " \t\x0b\x0c\r", 2: "\n", 3: "0123456789", 31: ".", 32: ",", 33: "!", 34: "?", 35: "'\"`", 36: "-", 37: ":;", 38: "()[]{}"}.items():
+        table[[ord(c) for c in chars]] = cls
+    table[ord("a") : ord("z") + 1] = np.arange(4, 30)
+    table[ord("A") : ord("Z") + 1] = 30
+    return table
+
+
+_TABLE = _classes()
+
+
+def codes(text: str | None) -> np.ndarray:
+    """The n-gram that ends at each character."""
+    s = _TABLE[np.frombuffer((text or "").encode("utf-32-le"), np.uint32)].astype(np.int32)
+    s = np.concatenate([np.zeros(ORDER - 1, np.int32), s])
+    n = len(s) - ORDER + 1
+    out = np.zeros(n, np.int32)
+    for k in range(ORDER):
+        out |= s[k : k + n] << (BITS * (ORDER - 1 - k))
+    return out
+
+
+def _counts(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total = np.zeros(SPACE_OF_CODES, np.int64)
+    held: list[np.ndarray] = []
+
+    def add() -> None:
+        c, n = np.unique(np.concatenate(held), return_counts=True)
+        total[c] += n
+        held.clear()
+
+    for part in parts:
+        for text in part.column("text").to_pylist():
+            held.append(codes(text))
+            if sum(map(len, held)) > 2_000_000:
+                add()
+    if held:
+        add()
+    c = np.flatnonzero(total)
+    for k in range(0, len(c), 50_000):
+        yield pa.RecordBatch.from_arrays([pa.array(c[k : k + 50_000].astype(np.int32)), pa.array(total[c[k : k + 50_000]])], names=["code", "n"])
+
+
+def _discounts(counts: DataFrame) -> list[float]:
+    """Modified Kneser-Ney discounts for counts of 1, 2, and 3 or more."""
+    row = counts.agg(*[F.count(F.when(F.col("n") == k, 1)).alias(f"n{k}") for k in (1, 2, 3, 4)]).first()
+    n = [0, *(row[f"n{k}"] for k in (1, 2, 3, 4))]
+    if min(n[1:]) == 0:  # too little text to estimate them
+        return [0.5, 0.75, 1.0]
+    y = n[1] / (n[1] + 2 * n[2])
+    return [min(max(k - (k + 1) * y * n[k + 1] / n[k], 0.05), k - 0.05) for k in (1, 2, 3)]
+
+
+class Model:
+    """Count tables of each order, sharded by n-gram; ``log_probability`` joins them to queries."""
+
+    def __init__(self, trusted: DataFrame):
+        """``trusted`` has ``text``. All of it is counted; partial counts are summed before the shuffle."""
+        counts = trusted.select("text").mapInArrow(_counts, "code int, n long").groupBy("code").agg(F.sum("n").alias("n"))
+        self.levels = []  # from the highest order down: (n-gram, its discounted share), (context, its mass for lower orders)
+        for order in range(ORDER, 0, -1):
+            counts = cut(counts)
+            d1, d2, d3 = _discounts(counts)
+            n = F.col("n")
+            context = F.shiftright("code", BITS).alias("context")
+            off = F.when(n == 1, d1).when(n == 2, d2).otherwise(d3)
+            grouped = counts.withColumn("context", context).withColumn("off", off)
+            mass = grouped.groupBy("context").agg(F.sum("n").alias("all"), F.sum("off").alias("left"))
+            mass = mass.select("context", "all", (F.col("left") / F.col("all")).alias(f"g{order}"))
+            share = grouped.join(mass.select("context", "all"), "context").select("code", ((n - F.col("off")) / F.col("all")).alias(f"a{order}"))
+            self.levels.append((order, share, mass.select("context", f"g{order}")))
+            # continuation counts: the distinct symbols seen before an n-gram of the next lower order
+            lower = F.col("code").bitwiseAND(F.lit((1 << BITS * (order - 1)) - 1)).alias("code")
+            counts = counts.select(lower).groupBy("code").agg(F.count("*").alias("n"))
+
+    def log_probability(self, queries: DataFrame) -> DataFrame:
+        """(code, logp) for each row of ``queries`` (code)."""
+        out = queries
+        for order, share, mass in self.levels:
+            low = (1 << BITS * order) - 1
+            key = F.col("code").bitwiseAND(F.lit(low))
+            out = out.withColumn("_key", key).join(share.withColumnRenamed("code", "_key"), "_key", "left")
+            out = out.withColumn("_key", F.shiftright("_key", BITS)).join(mass.withColumnRenamed("context", "_key"), "_key", "left").drop("_key")
+        p: Column = F.lit(1.0 / CLASSES)
+        for order, _, _ in reversed(self.levels):
+            p = F.coalesce(f"a{order}", F.lit(0.0)) + F.coalesce(f"g{order}", F.lit(1.0)) * p
+        return out.select("code", F.log(p).cast("float").alias("logp"))
+
+
+def score(docs: DataFrame, model: Model, *, block_chars: int = 16_000_000, least_blocks: int = 32) -> DataFrame:
+    """(doc_id, lang, n_symbols, cross_entropy) for each row; the latter is null for empty text.
+
+    Documents are dealt into blocks by a hash of their id. The distinct n-grams of each block - not those
+    of each document - go to the shards of the model and come back with a probability to the block, which
+    by then holds its documents' text: the same shuffle serves both visits.
+    """
+    chars = docs.agg(F.sum(F.char_length("text"))).first()[0] or 0
+    blocks = max(least_blocks, chars // block_chars + 1)
+    spark = docs.sparkSession
+    by = docs.select(F.pmod(F.xxhash64("doc_id", "lang"), F.lit(blocks)).cast("int").alias("block"), "doc_id", "lang", "text")
+    by = by.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "block")
+
+    def distinct(key, table):
+        seen = np.zeros(SPACE_OF_CODES, bool)
+        for text in table.column("text").to_pylist():
+            seen[codes(text)] = True
+        c = np.flatnonzero(seen).astype(np.int32)
+        return pa.table({"block": pa.array(np.full(len(c), key[0].as_py(), np.int32)), "code": pa.array(c)})
+
+    def apply(key, texts, answers):
+        logp = np.zeros(SPACE_OF_CODES, np.float32)
+        logp[answers.column("code").to_numpy()] = answers.column("logp").to_numpy()
+        n, h = [], []
+        for text in texts.column("text").to_pylist():
+            c = codes(text)
+            n.append(len(c))
+            h.append(float(-logp[c].mean(dtype=np.float64)) if len(c) else None)
+        return pa.table({"doc_id": texts.column("doc_id"), "lang": texts.column("lang"), "n_symbols": pa.array(n, pa.int64()), "cross_entropy": pa.array(h, pa.float64())})
+
+    asked = by.groupBy("block").applyInArrow(distinct, "block int, code int")
+    answers = model.log_probability(asked.select("code").distinct())
+    answered = asked.join(answers, "code").select("block", "code", "logp")
+    kinds = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, lang string, n_symbols long, cross_entropy double"
+    return by.groupBy("block").cogroup(answered.groupBy("block")).applyInArrow(apply, kinds)
+
+
+def classify(docs: DataFrame, labels: DataFrame, *, quantile: float = 0.995, margin: float = 0.05, prior: int = 40, least: int = 50) -> DataFrame:
+    """One row per row of ``docs`` (doc_id, lang, text): ``n_symbols``, ``perplexity``, ``threshold``, ``kept``.
+
+    Trusted text is that of documents labelled ``quality`` = 1, all of it. A document is kept if its
+    perplexity is at most its language's threshold: the ``quantile`` of trusted documents' cross entropies
+    plus ``margin`` nats. A short text's entropy is drawn towards its language's trusted mean as if
+    ``prior`` symbols of that mean came first. A language (or null) with fewer than ``least`` trusted
+    documents takes the threshold over all languages; without any trusted text everything is kept but
+    empty texts. Null or empty text has no perplexity and is not kept. Labels may repeat, be null or name
+    unknown documents. Repeated rows are scored alike; other columns are not looked at.
+    """
+    good = labels.where("quality = 1 and doc_id is not null").select("doc_id").distinct()
+    docs = docs.select("doc_id", F.col("lang").cast("string").alias("lang"), "text")
+    model = Model(docs.join(good, "doc_id", "left_semi"))
+    scored = cut(score(docs, model))
+    h = F.col("cross_entropy")
+    trusted = scored.join(good, "doc_id", "left_semi").where("n_symbols > 0")
+    means = trusted.groupBy("lang").agg(F.avg("cross_entropy").alias("mean"), F.count("*").alias("n"))
+    overall = trusted.agg(F.avg("cross_entropy").alias("mean_all"))
+
+    def drawn(df: DataFrame) -> DataFrame:
+        df = df.join(means.withColumnRenamed("lang", "_l"), F.col("lang").eqNullSafe(F.col("_l")), "left").drop("_l").join(F.broadcast(overall))
+        mean = F.coalesce(F.when(F.col("n") >= least, F.col("mean")), "mean_all", h)
+        return df.withColumn("drawn", (h * F.col("n_symbols") + mean * prior) / (F.col("n_symbols") + prior)).drop("mean", "n", "mean_all")
+
+    known = drawn(trusted)
+    limits = known.groupBy("lang").agg(F.percentile_approx("drawn", quantile, 20_000).alias("limit"), F.count("*").alias("n"))
+    over = known.agg(F.percentile_approx("drawn", quantile, 20_000).alias("limit_all"))
+    out = drawn(scored).join(limits.withColumnRenamed("lang", "_l"), F.col("lang").eqNullSafe(F.col("_l")), "left").join(F.broadcast(over))
+    limit = F.coalesce(F.when(F.col("n") >= least, F.col("limit")), "limit_all") + margin
+    kept = F.coalesce(F.col("drawn") <= limit, h.isNotNull())
+    return out.select("doc_id", "lang", "n_symbols", F.exp(h).alias("perplexity"), F.exp(limit).alias("threshold"), kept.alias("kept"))
+
+
+def digest(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    return classify(docs, labels)
+
+
+def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """All columns of the documents that the classifier keeps."""
+    kept = classify(docs, labels).where("kept").select("doc_id").distinct()
+    return docs.where("text <> ''").join(kept, "doc_id", "left_semi").select(*docs.columns)

@@ -1,3 +1,269 @@
-SQL = ""
-def digest(*a):
-    raise NotImplementedError
+"""Substring dedup with repeated-phrase automata.
+
+Documents are dealt into shards. A phrase of a few words, picked from every window by least hash, stands
+for the windows around it; phrases and windows that other documents hold too are confirmed by a shuffle of
+hashes. Each shard compiles the confirmed passages into an Aho-Corasick automaton over words and streams
+all its documents through it to locate every occurrence.
+
+Every window of two documents with equal words has the same least phrase, so none is missed.
+"""
+
+from __future__ import annotations
+
+import ahocorasick
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+U = np.uint64
+_IS_SPACE = np.zeros(256, bool)
+_IS_SPACE[[9, 10, 11, 12, 13, 32]] = True
+_BYTE = np.random.default_rng(1).integers(1, 1 << 63, 256, dtype=np.int64).astype(U) * U(2) + U(1)
+#: Odd multipliers of the polynomial hashes over bytes and over words.
+_BASES = tuple(int(x) | 1 for x in np.random.default_rng(2).integers(1 << 61, 1 << 62, 3))
+_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+
+def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """base**i and base**-i modulo 2**64 for i up to n."""
+    if base not in _POWERS or len(_POWERS[base][0]) <= n:
+        size = 1 << max(16, n.bit_length())
+        both = []
+        for b in (base, pow(base, -1, 1 << 64)):
+            p = np.full(size, b, U)
+            p[0] = 1
+            both.append(np.multiply.accumulate(p))
+        _POWERS[base] = (both[0], both[1])
+    return _POWERS[base]
+
+
+def _mix(x: np.ndarray) -> np.ndarray:
+    """The finaliser of splitmix64."""
+    x = (x ^ (x >> U(30))) * U(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> U(27))) * U(0x94D049BB133111EB)
+    return x ^ (x >> U(31))
+
+
+class Hashed:
+    """Polynomial hashes of any run of one sequence."""
+
+    def __init__(self, values: np.ndarray, base: int):
+        up, self.down = _powers(base, len(values) + 1)
+        self.sums = np.concatenate([np.zeros(1, U), np.cumsum(values * up[: len(values)], dtype=U)])
+
+    def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        return _mix((self.sums[end] - self.sums[start]) * self.down[start] + (end - start).astype(U))
+
+
+def _least(x: np.ndarray, width: int) -> np.ndarray:
+    """Minimum of each run of ``width`` values."""
+    step, n = 1, len(x) - width + 1
+    while 2 * step <= width:
+        x, step = np.minimum(x[:-step], x[step:]), 2 * step
+    return np.minimum(x[:n], x[width - step : width - step + n])
+
+
+class Batch:
+    """The words and windows of some documents one after another. ``least`` is each window's phrase."""
+
+    def __init__(self, ids: list, texts: list, window: int, phrase: int):
+        raw = [(t or "").encode() for t in texts]
+        data = np.frombuffer(b"\n".join(raw) + b"\n", np.uint8)
+        space = _IS_SPACE[data]
+        edge = np.flatnonzero(np.diff(np.concatenate([[True], space]).astype(np.int8)))
+        self.starts, self.ends = edge[0::2], edge[1::2]
+        self.words = Hashed(_BYTE[data], _BASES[0]).of(self.starts, self.ends)
+        at = np.concatenate([[0], np.cumsum([len(r) + 1 for r in raw])])
+        self.first = np.searchsorted(self.starts, at)  # of each document's words, and the end of the last
+        doc = np.repeat(np.arange(len(raw)), np.diff(self.first))
+        self.one, self.two = Hashed(self.words, _BASES[1]), Hashed(self.words, _BASES[2])
+        n = len(self.words)
+        has_id = np.array([i is not None for i in ids], bool)
+        self.ids = np.array([0 if i is None else i for i in ids], np.int64)
+        if n >= window:
+            j = np.arange(n - window + 1)
+            ok = (doc[j] == doc[j + window - 1]) & has_id[doc[j]]
+            k = np.arange(n - phrase + 1)
+            self.least = _least(self.one.of(k, k + phrase), window - phrase + 1)
+            self.at, self.least, self.doc = j[ok], self.least[ok], doc[j[ok]]
+        else:
+            self.at = self.doc = np.zeros(0, np.int64)
+            self.least = np.zeros(0, U)
+
+    def pieces(self) -> tuple[np.ndarray, np.ndarray]:
+        """First and last (inclusive) of each run of windows of one document with the same phrase."""
+        if not len(self.at):
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        new = (np.diff(self.least) != 0) | (np.diff(self.at) != 1) | (np.diff(self.doc) != 0)
+        first = np.concatenate([[0], np.flatnonzero(new) + 1])
+        return first, np.concatenate([first[1:], [len(self.at)]]) - 1
+
+
+def _batches(table: pa.Table, window: int, phrase: int, size: int = 1 << 20):
+    """(index of the first row, Batch) for a shard's documents, about ``size`` characters at a time."""
+    ids, texts = table.column("doc_id").to_pylist(), table.column("text").to_pylist()
+    start, held = 0, 0
+    for i, t in enumerate(texts):
+        held += len(t or "")
+        if held >= size or i == len(texts) - 1:
+            yield start, Batch(ids[start : i + 1], texts[start : i + 1], window, phrase)
+            start, held = i + 1, 0
+
+
+def _reduce(keys: list[np.ndarray], low: list[np.ndarray], high: list[np.ndarray]):
+    """Distinct keys (columns) with minima of ``low`` and maxima of ``high``."""
+    if not len(keys[0]):
+        return keys, low, high
+    order = np.lexsort(keys[::-1])
+    keys = [k[order] for k in keys]
+    cut = np.concatenate([[0], np.flatnonzero(np.any([np.diff(k) != 0 for k in keys], axis=0)) + 1])
+    return [k[cut] for k in keys], [np.minimum.reduceat(x[order], cut) for x in low], [np.maximum.reduceat(x[order], cut) for x in high]
+
+
+def _member(x: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whether and where each x is in a sorted table."""
+    if not len(table):
+        return np.zeros(len(x), bool), np.zeros(len(x), np.int64)
+    at = np.minimum(np.searchsorted(table, x), len(table) - 1)
+    return table[at] == x, at
+
+
+def remove_repeats(docs: DataFrame, *, window: int = 50, phrase: int = 16, shard_bytes: int = 4_000_000, least_shards: int = 32) -> DataFrame:
+    """All columns of ``docs`` (any named like a result are replaced), ``text`` without repeats, ``n_words``, ``n_removed``.
+
+    A word goes if a window of ``window`` words that covers it also starts in a document of smaller
+    doc_id; windows are judged on the input. Kept words are joined by one space. Null or empty text has no
+    words and comes back empty. Rows of the same doc_id are no smaller than each other, so repeated rows
+    lose nothing to each other; a row without doc_id neither loses nor claims words. ``doc_id`` is integer.
+
+    Shuffled are the text, once; for about one word in 18 a phrase's hash per shard; and hashes of windows
+    only where documents hold the same phrase in different surroundings. A key has one row per shard
+    at most, however common it is. A shard's automaton is no larger than its own documents.
+    """
+    docs = docs.drop("n_words", "n_removed")
+    spark = docs.sparkSession
+    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    shards = max(least_shards, total // shard_bytes + 1)
+    by = docs.withColumn("_shard", F.pmod(F.xxhash64("doc_id", "text"), F.lit(shards)).cast("int"))
+    by = by.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "_shard")
+
+    def phrases(key, table):
+        got = []
+        for _, b in _batches(table, window, phrase):
+            first, last = b.pieces()
+            start, end = b.at[first], b.at[last] + window
+            own, body = b.ids[b.doc[first]], b.two.of(start, end).view(np.int64)
+            k, lo, hi = _reduce([b.least[first].view(np.int64)], [own, body], [own, body])
+            got.append((*k, *lo, *hi))
+        cols = [np.concatenate(c) for c in zip(*got, strict=True)] if got else [np.zeros(0, np.int64)] * 5
+        k, lo, hi = _reduce(cols[:1], cols[1:3], cols[3:5])
+        shard = np.full(len(k[0]), key[0].as_py(), np.int32)
+        return pa.table({"p": k[0], "_shard": shard, "lo": lo[0], "hi": hi[0], "body_lo": lo[1], "body_hi": hi[1]})
+
+    kinds = "p long, _shard int, lo long, hi long, body_lo long, body_hi long"
+    found = by.groupBy("_shard").applyInArrow(phrases, kinds)
+    same = Window.partitionBy("p")
+    found = found.withColumns({"owner": F.min("lo").over(same), "last": F.max("hi").over(same), "b0": F.min("body_lo").over(same), "b1": F.max("body_hi").over(same)})
+    # windows of a phrase with the same surroundings everywhere begin in the first document that has it
+    known = found.where("owner < last and (b0 <> b1 or hi > owner)").select("_shard", "p", F.when(F.col("b0") == F.col("b1"), F.col("owner")).alias("owner"))
+
+    def windows(key, table, marks):
+        want = np.sort(marks.filter(pa.compute.is_null(marks.column("owner"))).column("p").to_numpy().view(U)) if len(marks) else np.zeros(0, U)
+        got = []
+        for _, b in _batches(table, window, phrase) if len(want) else ():
+            hit, _ = _member(b.least, want)
+            at, own = b.at[hit], b.ids[b.doc[hit]]
+            k, lo, hi = _reduce([b.one.of(at, at + window).view(np.int64), b.two.of(at, at + window).view(np.int64)], [own], [own])
+            got.append((*k, *lo, *hi))
+        cols = [np.concatenate(c) for c in zip(*got, strict=True)] if got else [np.zeros(0, np.int64)] * 4
+        k, lo, hi = _reduce(cols[:2], cols[2:3], cols[3:4])
+        return pa.table({"h": k[0], "g": k[1], "_shard": np.full(len(k[0]), key[0].as_py(), np.int32), "lo": lo[0], "hi": hi[0]})
+
+    each = by.groupBy("_shard").cogroup(known.where("owner is null").groupBy("_shard")).applyInArrow(windows, "h long, g long, _shard int, lo long, hi long")
+    each = each.withColumn("owner", F.min("lo").over(Window.partitionBy("h", "g"))).where("hi > owner")
+    marks = known.where("owner is not null").select("_shard", F.lit(None).cast("long").alias("h"), F.col("p").alias("g"), "owner")
+    marks = marks.unionByName(each.select("_shard", "h", "g", "owner"))
+    names = [c for c in by.columns if c != "_shard"]
+
+    def stream(key, table, marks):
+        return _stream(table.select(names), marks, window, phrase)
+
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + ", n_words long, n_removed long"
+    return by.groupBy("_shard").cogroup(marks.groupBy("_shard")).applyInArrow(stream, schema)
+
+
+def _stream(table: pa.Table, marks: pa.Table, window: int, phrase: int) -> pa.Table:
+    """Compiles the confirmed passages of a shard and streams its documents through the automaton."""
+    plain = pa.compute.is_null(marks.column("h"))
+    by_phrase, by_window = marks.filter(plain), marks.filter(pa.compute.invert(plain))
+    p, p_owner = by_phrase.column("g").to_numpy().view(U), by_phrase.column("owner").to_numpy()
+    order = np.argsort(p)
+    p, p_owner = p[order], p_owner[order]
+    h, g, h_owner = (by_window.column(c).to_numpy() for c in ("h", "g", "owner"))
+    order = np.argsort(h.view(U))
+    h, g, h_owner = h.view(U)[order], g.view(U)[order], h_owner[order]
+
+    # confirmed passages: runs of windows that begin in a smaller document, with the largest of those ids
+    passages: list[tuple[int, int, int, int]] = []
+    batches = list(_batches(table, window, phrase)) if len(p) or len(h) else []
+    for n, (_, b) in enumerate(batches):
+        hit, at = _member(b.least, p)
+        owner = np.where(hit, p_owner[at] if len(p) else 0, np.iinfo(np.int64).max)
+        if len(h):
+            one, two = b.one.of(b.at, b.at + window), b.two.of(b.at, b.at + window)
+            hit, at = _member(one, h)
+            hit &= g[at] == two
+            owner = np.where(hit, np.minimum(owner, h_owner[at]), owner)
+        gone = np.flatnonzero(owner < b.ids[b.doc])
+        if not len(gone):
+            continue
+        start = np.concatenate([[0], np.flatnonzero((np.diff(b.at[gone]) != 1) | (np.diff(b.doc[gone]) != 0)) + 1])
+        most = np.maximum.reduceat(owner[gone], start)
+        end = np.concatenate([start[1:], [len(gone)]]) - 1
+        passages += zip([n] * len(start), b.at[gone][start].tolist(), (b.at[gone][end] + window).tolist(), most.tolist(), strict=True)
+
+    removed: dict[int, list[tuple[int, int]]] = {}
+    if passages:
+        vocabulary = np.unique(np.concatenate([b.words for _, b in batches]))
+        numbers = [np.searchsorted(vocabulary, b.words).tolist() for _, b in batches]
+        automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
+        best: dict[tuple, int] = {}
+        for n, s, e, o in passages:
+            words = tuple(numbers[n][s:e])
+            best[words] = min(o, best.get(words, o))
+        for words, o in best.items():
+            automaton.add_word(words, (len(words), o))
+        best.clear()
+        automaton.make_automaton()
+        for n, (row, b) in enumerate(batches):
+            for d in range(len(b.ids)):
+                s, e = int(b.first[d]), int(b.first[d + 1])
+                if e - s >= window:
+                    own = int(b.ids[d])
+                    spans = [(end + 1 - length, end + 1) for end, (length, o) in automaton.iter(tuple(numbers[n][s:e])) if own > o]
+                    if spans:
+                        removed[row + d] = spans
+    texts, n_words, n_removed = [], [], []
+    ids = table.column("doc_id").to_pylist()
+    for i, t in enumerate(table.column("text").to_pylist()):
+        words = (t or "").encode().split()
+        spans = removed.get(i) if ids[i] is not None else None
+        n_words.append(len(words))
+        if spans:
+            change = np.zeros(len(words) + 1, np.int32)
+            np.add.at(change, [s for s, _ in spans], 1)
+            np.add.at(change, [e for _, e in spans], -1)
+            keep = np.cumsum(change[:-1]) == 0
+            words = [w for w, k in zip(words, keep.tolist(), strict=True) if k]
+        n_removed.append(n_words[-1] - len(words))
+        texts.append(b" ".join(words).decode())
+    out = table.set_column(table.column_names.index("text"), "text", pa.array(texts, pa.string()))
+    return out.append_column("n_words", pa.array(n_words, pa.int64())).append_column("n_removed", pa.array(n_removed, pa.int64()))
+
+
+def digest(docs: DataFrame) -> DataFrame:
+    """The contract's columns."""
+    out = remove_repeats(docs.select("doc_id", "text"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2(F.encode("text", "UTF-8"), 256).alias("kept_sha256"))
