@@ -62,6 +62,7 @@ def mix(docs: DataFrame, *, weights=WEIGHTS, share=1.5, most=2, salt: str = "mix
     """
     docs = docs.drop("size", "source_size", "target", "taken")
     sized = docs.withColumn("size", F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORD)).cast("long"))
+    sized = sized.withColumn("_text", F.xxhash64("text"))  # a tie is broken without the text itself
     per = cut(targets(sized.select("source", "size"), weights=weights, share=share, most=most))
     n = sized.count()
     digits = max(1, min(8, math.ceil(math.log(max(n, 1) / 2_000 + 1, 16))))
@@ -72,7 +73,7 @@ def mix(docs: DataFrame, *, weights=WEIGHTS, share=1.5, most=2, salt: str = "mix
     queued = queued.withColumns({"_key": shuffled_key(salt), "_tier": tier})
     queued = queued.withColumn("_part", F.substring("_key", 1, digits))
     cell = ["rank", "_tier", "_part"]
-    within = Window.partitionBy(*cell).orderBy("_key", "doc_id", F.xxhash64("text")).rowsBetween(Window.unboundedPreceding, 0)
+    within = Window.partitionBy(*cell).orderBy("_key", "doc_id", "_text").rowsBetween(Window.unboundedPreceding, 0)
     cells = queued.groupBy(*cell).agg(F.sum("size").alias("cell_size"))
     before = Window.partitionBy("rank").orderBy("_tier", "_part").rowsBetween(Window.unboundedPreceding, -1)
     cells = cut(cells.withColumn("_offset", F.coalesce(F.sum("cell_size").over(before), F.lit(0))).drop("cell_size"))
