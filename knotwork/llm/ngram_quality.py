@@ -1,8 +1,10 @@
 """Quality classifier: an interpolated modified Kneser-Ney n-gram model of trusted text.
 
 N-grams are over 64 symbol classes, four symbols long. Counts of all trusted text, continuation counts of
-the lower orders and the distinct n-grams of all documents are joined shard by shard, by n-gram; each
-document's perplexity is held against a quantile of trusted perplexities of its language.
+the lower orders and the distinct n-grams of all documents are joined shard by shard, by n-gram. What comes
+of it, a probability for each n-gram that occurs, has at most 64**4 rows however much text there is (134 MB),
+so it is broadcast, and documents are scored where they are. Each document's perplexity is held against a
+quantile of trusted perplexities of its language.
 """
 
 from __future__ import annotations
@@ -112,41 +114,39 @@ class Model:
         return out.select("code", F.log(p).cast("float").alias("logp"))
 
 
-def score(docs: DataFrame, model: Model, *, block_chars: int = 16_000_000, least_blocks: int = 32) -> DataFrame:
+def score(docs: DataFrame, model: Model) -> DataFrame:
     """(doc_id, lang, n_symbols, cross_entropy) for each row; the latter is null for empty text.
 
-    Documents are dealt into blocks by a hash of their id. The distinct n-grams of each block - not those
-    of each document - go to the shards of the model and come back with a probability to the block, which
-    by then holds its documents' text: the same shuffle serves both visits.
+    The distinct n-grams of each partition go to the shards of the model's tables; no text is shuffled.
     """
-    chars = docs.agg(F.sum(F.char_length("text"))).first()[0] or 0
-    blocks = max(least_blocks, chars // block_chars + 1)
-    spark = docs.sparkSession
-    by = docs.select(F.pmod(F.xxhash64("doc_id", "lang"), F.lit(blocks)).cast("int").alias("block"), "doc_id", "lang", "text")
-    by = by.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "block")
+    docs = docs.select("doc_id", "lang", "text")
 
-    def distinct(key, table):
+    def distinct(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros(SPACE_OF_CODES, bool)
-        for text in table.column("text").to_pylist():
-            seen[codes(text)] = True
+        for part in parts:
+            for text in part.column("text").to_pylist():
+                seen[codes(text)] = True
         c = np.flatnonzero(seen).astype(np.int32)
-        return pa.table({"block": pa.array(np.full(len(c), key[0].as_py(), np.int32)), "code": pa.array(c)})
+        for k in range(0, len(c), 50_000):
+            yield pa.RecordBatch.from_arrays([pa.array(c[k : k + 50_000])], names=["code"])
 
-    def apply(key, texts, answers):
+    table = model.log_probability(docs.select("text").mapInArrow(distinct, "code int").distinct()).toArrow()
+    shared = docs.sparkSession.sparkContext.broadcast((table.column("code").to_numpy(), table.column("logp").to_numpy()))
+
+    def apply(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         logp = np.zeros(SPACE_OF_CODES, np.float32)
-        logp[answers.column("code").to_numpy()] = answers.column("logp").to_numpy()
-        n, h = [], []
-        for text in texts.column("text").to_pylist():
-            c = codes(text)
-            n.append(len(c))
-            h.append(float(-logp[c].mean(dtype=np.float64)) if len(c) else None)
-        return pa.table({"doc_id": texts.column("doc_id"), "lang": texts.column("lang"), "n_symbols": pa.array(n, pa.int64()), "cross_entropy": pa.array(h, pa.float64())})
-
-    asked = by.groupBy("block").applyInArrow(distinct, "block int, code int")
-    answers = model.log_probability(asked.select("code").distinct())
-    answered = asked.join(answers, "code").select("block", "code", "logp")
+        logp[shared.value[0]] = shared.value[1]
+        for part in parts:
+            n, h = [], []
+            for text in part.column("text").to_pylist():
+                c = codes(text)
+                n.append(len(c))
+                h.append(float(-logp[c].mean(dtype=np.float64)) if len(c) else None)
+            cols = [part.column("doc_id"), part.column("lang"), pa.array(n, pa.int64()), pa.array(h, pa.float64())]
+            yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "lang", "n_symbols", "cross_entropy"])
+
     kinds = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, lang string, n_symbols long, cross_entropy double"
-    return by.groupBy("block").cogroup(answered.groupBy("block")).applyInArrow(apply, kinds)
+    return docs.mapInArrow(apply, kinds)
 
 
 def classify(docs: DataFrame, labels: DataFrame, *, quantile: float = 0.995, margin: float = 0.05, prior: int = 40, least: int = 50) -> DataFrame:
@@ -162,7 +162,8 @@ def classify(docs: DataFrame, labels: DataFrame, *, quantile: float = 0.995, mar
     """
     good = labels.where("quality = 1 and doc_id is not null").select("doc_id").distinct()
     docs = docs.select("doc_id", F.col("lang").cast("string").alias("lang"), "text")
-    model = Model(docs.join(good, "doc_id", "left_semi"))
+    # a sort-merge join at every size: labels grow with the documents
+    model = Model(docs.select("doc_id", "text").hint("merge").join(good, "doc_id", "left_semi"))
     scored = cut(score(docs, model))
     h = F.col("cross_entropy")
     trusted = scored.join(good, "doc_id", "left_semi").where("n_symbols > 0")
