@@ -123,3 +123,15 @@ def _compare(r: dict, dims: int, width: int, least: float) -> pa.RecordBatch:
 def digest(vectors: DataFrame) -> DataFrame:
     """The contract's columns."""
     return link(vectors.select("vec_id", "embedding"))
+
+
+SQL = """
+with recursive v as (
+  select vec_id, embedding::double[] as e from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0 and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+p as (select a.vec_id as a, b.vec_id as b from v a join v b on a.vec_id <> b.vec_id and list_cosine_similarity(a.e, b.e) >= 0.9),
+r(node, c) as (select vec_id, vec_id from v union select p.b, r.c from r join p on p.a = r.node),
+n as (select a, count(*) as n_links from p group by a)
+select m.vec_id, coalesce(n_links, 0) as n_links, coalesce(c, m.vec_id) as component_id, coalesce(c, m.vec_id) = m.vec_id as kept
+from embeddings m left join n on n.a = m.vec_id left join (select node, min(c) as c from r group by node) x on x.node = m.vec_id
+"""

@@ -37,6 +37,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE_SQL: dict[str, str] = {
     "op2_line_dedup": line_dedup.SQL,
+    "op5_substring_dedup": substring_dedup.SQL,
     "op6_chat_tools": chat_tools.SQL,
+    "op7_embedding_dedup": embedding_dedup.SQL,
     "op9_quality_rules": quality_rules.SQL,
 }

@@ -267,3 +267,17 @@ def digest(docs: DataFrame) -> DataFrame:
     """The contract's columns."""
     out = remove_repeats(docs.select("doc_id", "text"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.encode("text", "UTF-8"), 256).alias("kept_sha256"))
+
+
+SQL = r"""
+with d as (select doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') as w from documents),
+win as (select doc_id, p, md5(array_to_string(list_slice(w, p + 1, p + 50), ' ')) as h
+        from (select doc_id, w, unnest(range(len(w) - 49)) as p from d where len(w) >= 50)),
+own as (select h, min(doc_id) as owner from win group by h),
+gone as (select distinct doc_id, unnest(range(p, p + 50)) as pos from win join own using (h) where owner < doc_id),
+t as (select doc_id, unnest(w) as word, generate_subscripts(w, 1) - 1 as pos from d),
+k as (select t.doc_id, string_agg(word, ' ' order by t.pos) filter (where g.pos is null) as kept, count(g.pos) as n_removed
+      from t left join gone g on g.doc_id = t.doc_id and g.pos = t.pos group by t.doc_id)
+select d.doc_id, len(w) as n_words, coalesce(n_removed, 0) as n_removed, sha256(coalesce(kept, '')) as kept_sha256
+from d left join k on k.doc_id = d.doc_id
+"""
