@@ -50,7 +50,7 @@ def shuffled_key(salt: str) -> Column:
     return F.md5(F.concat(F.lit(salt), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
 
 
-def mix(docs: DataFrame, *, weights=WEIGHTS, share=1.5, most=2, salt: str = "mix-", coarse: int = 64) -> DataFrame:
+def mix(docs: DataFrame, *, weights=WEIGHTS, share=1.5, most=2, salt: str = "mix-", coarse: int = 64, few_sources: int = 50_000) -> DataFrame:
     """All columns of ``docs`` (those named like a result are replaced), ``size``, ``source_size``, ``target``, ``taken``.
 
     Sizes are words; null or empty text has none and takes none. Only whole copies are taken, each document
@@ -66,8 +66,10 @@ def mix(docs: DataFrame, *, weights=WEIGHTS, share=1.5, most=2, salt: str = "mix
     per = cut(targets(sized.select("source", "size"), weights=weights, share=share, most=most))
     n = sized.count()
     digits = max(1, min(8, math.ceil(math.log(max(n, 1) / 2_000 + 1, 16))))
-    # one row per source: broadcast by adaptive execution if small, else joined
-    queued = sized.join(per.withColumnRenamed("source", "_source"), F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
+    # few sources, as counted, travel to the documents; many are joined, and a hot one split by adaptive execution
+    by_source = per.withColumnRenamed("source", "_source")
+    by_source = F.broadcast(by_source) if per.count() <= few_sources else by_source
+    queued = sized.join(by_source, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
     over = F.when(F.col("size") * coarse > F.col("target"), F.ceil(F.log2(F.col("size") * coarse / F.when(F.col("target") > 0, F.col("target")))))
     tier = -F.coalesce(over, F.lit(0)).cast("int")
     queued = queued.withColumns({"_key": shuffled_key(salt), "_tier": tier})

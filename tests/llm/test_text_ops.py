@@ -172,6 +172,8 @@ def test_mixing(odd, odd_rows, spark, small):
     out = mixing.digest(odd)
     rows = out.collect()
     assert rows_of(out) == rows_of(mixing.digest(odd.repartition(5)))
+    joined = mixing.mix(odd.select("doc_id", "source", "text"), few_sources=0)
+    assert rows_of(out) == rows_of(joined.select("doc_id", "size", "source_size", "target", "taken"))
     assert len(rows) == len(odd_rows)
     sizes = collections.Counter()
     for r in odd_rows:
