@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources import io
+from . import metrics
 
 HEADERS = {"matching": ("source1_entity_id", "matched_entity_ids"), "candidate": ("source1_entity_id", "candidate_entity_ids")}
 EXAMPLES = 5
@@ -107,3 +108,22 @@ def validate(spark: SparkSession, matching: str, candidate: str | None, folder:
             if n:
                 warnings.append(f"{n} entities have matches outside their candidates")
     return errors, warnings
+
+
+def audit_report(spark: SparkSession, matching: str, candidate: str | None, folder: str, targets: list[str], *, check_ids: bool = False) -> str:
+    """Counts of both files and what validation says, as text, written to every path of ``targets``."""
+    lines = []
+    for kind, path in (("matching", matching), ("candidate", candidate)):
+        if path is None or not io.exists(spark, path):
+            lines.append(f"{kind}: no file")
+            continue
+        rows = split_lists(io.line_numbers(spark.read.text(path)).where("line > 1 and trim(value) <> ''"))
+        counts = metrics.file_integrity(rows.select("s1_id", "ids")).first().asDict()
+        lines += [f"{kind}: {path}", *(f"  {k}: {v}" for k, v in counts.items())]
+    errors, warnings = validate(spark, matching, candidate, folder, check_ids=check_ids)
+    lines += [f"error: {e}" for e in errors] + [f"warning: {w}" for w in warnings]
+    lines.append("valid" if not errors else "not valid")
+    text = "\n".join(lines) + "\n"
+    for path in targets:
+        io.write_text(spark, path, text)
+    return text

@@ -1,4 +1,4 @@
-"""Command line: run, train, block, validate, evaluate, normalize, shard, sample."""
+"""Command line: run, train, decide, block, validate, report, evaluate, normalize, shard, sample."""
 
 from __future__ import annotations
 
@@ -28,6 +28,23 @@ def _parser() -> argparse.ArgumentParser:
     for name in ("--no-resume", "--smoke-test", "--re-score", "--split-source-models", "--no-decision-layer", "--compat"):
         p.add_argument(name, action="store_true")
 
+    p = sub.add_parser("train", help="fit and save a model, print its most important features")
+    p.add_argument("--train-dir", required=True)
+    p.add_argument("--model-path", required=True)
+    p.add_argument("--threshold", type=float, default=0.50)
+    for name in ("--split-source-models", "--no-decision-layer", "--compat"):
+        p.add_argument(name, action="store_true")
+
+    p = sub.add_parser("decide", help="fit a saved model's decision layer anew")
+    for name in ("--train-dir", "--model-path", "--output-layer"):
+        p.add_argument(name, required=True)
+
+    p = sub.add_parser("report", help="counts and validation of result files as text")
+    p.add_argument("--matching", required=True)
+    p.add_argument("--candidate")
+    p.add_argument("--test-dir", required=True)
+    p.add_argument("--output", nargs="+", required=True)
+
     p = sub.add_parser("block", help="candidate pairs of a folder's sources")
     p.add_argument("-d", "--data-dir", required=True)
     p.add_argument("-o", "--output", required=True)
@@ -119,13 +136,33 @@ def _sample(spark: SparkSession, a: argparse.Namespace) -> int:
             got = s.join(mine.select(F.col("candidate_id").alias("entity_id")), "entity_id", "left_semi")
             if not a.no_distractors:
                 # the two sets draw from different halves of the unmatched records
-                half = s.where(F.pmod(F.xxhash64("entity_id"), F.lit(2)) == (name == "train"))
+                half = s.where(F.pmod(F.xxhash64("entity_id"), F.lit(2)) == int(name == "train"))
                 got = got.unionByName(sampling.calibrated_distractors(half, used, size=round(got.count() * a.distractor_ratio), empty_rate=rate, seed=a.seed))
             io.write_tsv(got, f"{out}/{name}_source{k}.tsv", order="entity_id", single=True)
         io.write_matches(mine, ids.select(F.col("entity_id").alias("s1_id")), f"{out}/{name}_ground_truth.tsv", single=True)
     return 0
 
 
+def _train(spark: SparkSession, a: argparse.Namespace) -> int:
+    truth, _ = pipeline.labels(spark, a.train_dir, ("train",))
+    config = model.ModelConfig(threshold=a.threshold, split_source_models=a.split_source_models, use_decision_layer=not a.no_decision_layer, compat=a.compat)
+    fitted = model.PairModel(config).fit(*_sources(spark, a.train_dir), truth)
+    fitted.save(spark, a.model_path)
+    for name, share in fitted.importances():
+        print(f"{name}\t{share:.4f}")
+    return 0
+
+
+def _decide(spark: SparkSession, a: argparse.Namespace) -> int:
+    pipeline.retune(spark, a.model_path, a.train_dir, a.output_layer).show(truncate=False, vertical=True)
+    return 0
+
+
+def _report(spark: SparkSession, a: argparse.Namespace) -> int:
+    print(validate.audit_report(spark, a.matching, a.candidate, a.test_dir, a.output), end="")
+    return 0
+
+
 def main(argv: list[str] | None = None) -> int:
     a = _parser().parse_args(argv)
     spark = SparkSession.builder.appName("knotwork").getOrCreate()
@@ -150,7 +187,8 @@ def main(argv: list[str] | None = None) -> int:
     if a.command == "shard":
         io.write_folder_shards(spark, a.dataset_dir, a.output_dir, rows=a.lines_per_shard, gz=not a.no_gz)
         return 0
-    return {"block": _block, "evaluate": _evaluate, "sample": _sample}[a.command](spark, a)
+    commands = {"train": _train, "decide": _decide, "report": _report, "block": _block, "evaluate": _evaluate, "sample": _sample}
+    return commands[a.command](spark, a)
 
 
 if __name__ == "__main__":

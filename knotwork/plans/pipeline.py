@@ -153,6 +153,19 @@ def evaluate(fitted: model.PairModel, name: str, s1: DataFrame, s2: DataFrame, s
     return scorecard(name, s1, s2.unionByName(s3), pairs, scored, fitted.decide(scored, spine), truth, fitted.threshold)
 
 
+def retune(spark: SparkSession, model_path: str, folder: str, target: str) -> DataFrame:
+    """Fits a new decision layer for a saved model on a labelled folder, saves it, and returns its scorecard."""
+    from ..operators.decision import DecisionLayer
+
+    fitted = model.PairModel.load(spark, model_path)
+    s1, s2, s3 = (table(spark, folder, f"source{k}", ("train", "test")) for k in (1, 2, 3))
+    truth, _ = labels(spark, folder, ("train", "test"))
+    scored = fitted.score(s1, s2, s3).persist()
+    fitted.decision = DecisionLayer().fit(scored, truth, s1.select(F.col("entity_id").alias("s1_id")))
+    fitted.decision.save(spark, target)
+    return evaluate(fitted, "retuned", s1, s2, s3, truth)
+
+
 def holdout(spark: SparkSession, train_dir: str, val_dir: str, config: model.ModelConfig = model.ModelConfig(), model_path: str | None = None) -> DataFrame:
     """Audits the two folders for leakage, trains or loads, and scores the second; any overlap is an error."""
     parts, sets = [], []

@@ -56,8 +56,8 @@ def copy(spark: SparkSession, source: str, target: str) -> None:
 
 
 def shard_files(spark: SparkSession, path: str) -> list[str]:
-    """Files of a shard directory: those named ``part`` if there are any, else all tab-separated ones."""
-    files = [p for p, _, _ in list_dir(spark, path) if p.endswith((".tsv", ".tsv.gz"))]
+    """Files of a shard directory: those named ``part`` if there are any, else all; our own sinks end in .csv."""
+    files = [p for p, _, _ in list_dir(spark, path) if p.endswith((".tsv", ".tsv.gz", ".csv", ".csv.gz"))]
     parts = [p for p in files if "part" in posixpath.basename(p)]
     found = parts or files
     if not found:
@@ -254,18 +254,22 @@ def file_sha256(spark: SparkSession, path: str) -> str | None:
     return None if row is None else row[0]
 
 
-def write_json(spark: SparkSession, path: str, data) -> None:
-    """Small JSON, under a temporary name first: readers see the old file or the new one."""
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small text, under a temporary name first: readers see the old file or the new one."""
     fs, p = _fs(spark, path)
     _, temp = _fs(spark, f"{path}.tmp")
     out = fs.create(temp, True)
-    out.write(bytearray(json.dumps(data, indent=2, ensure_ascii=False).encode()))
+    out.write(bytearray(text.encode()))
     out.close()
     fs.delete(p, False)
     if not fs.rename(temp, p):
         raise OSError(f"could not write {path}")
 
 
+def write_json(spark: SparkSession, path: str, data) -> None:
+    write_text(spark, path, json.dumps(data, indent=2, ensure_ascii=False))
+
+
 def read_json(spark: SparkSession, path: str):
     """None if the file is missing or no JSON."""
     if not exists(spark, path):

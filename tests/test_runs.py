@@ -130,6 +130,15 @@ def test_run(spark, tmp_path, folders):
     assert validate.validate(spark, file, None, str(folders[1]), check_ids=True) == ([], [])
     assert validate.validate(spark, str(folders[0] / "train_source1.tsv"), None, str(folders[1]))[0]
     assert cli.main(["validate", "--matching", file, "--test-dir", str(folders[1])]) == 0
+    assert cli.main(["report", "--matching", file, "--test-dir", str(folders[1]), "--output", str(tmp_path / "a.txt"), str(tmp_path / "b.txt")]) == 0
+    assert (tmp_path / "b.txt").read_text().endswith("valid\n") and "n_rows: 15" in (tmp_path / "a.txt").read_text()
+
+
+def test_sample_command(spark, tmp_path, folders):
+    out = str(tmp_path / "sets")
+    assert cli.main(["sample", "--data-dir", str(folders[0]), "--output-dir", out, "--n-test", "5", "--n-train", "20"]) == 0
+    test, train = (pipeline.labels(spark, f"{out}/{p}", (p,))[1] for p in ("test", "train"))
+    assert (test.count(), train.count(), test.intersect(train).count()) == (5, 20, 0)
 
 
 def test_holdout_refuses_leakage(spark, folders):
