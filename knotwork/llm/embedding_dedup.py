@@ -32,7 +32,7 @@ def principal(classes: DataFrame, dims: int, width: int, sample: int) -> np.ndar
     return axes[:, ::-1][:, :dims]
 
 
-def link(vectors: DataFrame, *, least: float = 0.9, dims: int = 8, sample: int = 4_096, block: int = 2_048) -> DataFrame:
+def link(vectors: DataFrame, *, least: float = 0.9, dims: int = 8, sample: int = 4_096, block_bytes: int = 1 << 22) -> DataFrame:
     """One row per row of ``vectors`` (vec_id, embedding): ``vec_id``, ``n_links``, ``component_id``, ``kept``.
 
     Linked are vectors of cosine ``least`` or more. A vector that is null, zero, empty or holds null or
@@ -49,6 +49,7 @@ def link(vectors: DataFrame, *, least: float = 0.9, dims: int = 8, sample: int =
     classes = cut(classes.withColumn("node", F.monotonically_increasing_id()))
     width = classes.agg(F.max(F.size("embedding"))).first()[0] or 1
     dims = min(dims, width)
+    block = max(32, block_bytes // (8 * width))  # an interval travels once for each partner: fewer and larger ones travel less
     axes = principal(classes, dims, width, sample)
     eps = math.sqrt(max(0.0, 2 - 2 * least)) + 1e-9
 

@@ -144,7 +144,7 @@ def test_embedding_dedup(spark):
     rows += [(800, None), (801, []), (802, [0.0] * 16), (803, [float("nan")] * 16), (804, [float("inf")] + [1.0] * 15), (805, [None] + [1.0] * 15), (806, [1.0, 2.0]), (None, rows[7][1])]
     df = spark.createDataFrame([(i, e, 1, "x") for i, e in rows], "vec_id long, embedding array<float>, label int, n_links string")
     assert rows_of(embedding_dedup.digest(df)) == brute_links(rows)
-    assert rows_of(embedding_dedup.link(df, dims=3, block=32, sample=50)) == brute_links(rows)
+    assert rows_of(embedding_dedup.link(df, dims=3, block_bytes=32 * 8 * 16, sample=50)) == brute_links(rows)
     assert embedding_dedup.digest(df.where("false")).count() == 0
 
 
