@@ -32,10 +32,6 @@ def chain(c: Column, rules: tuple[tuple[str, str], ...]) -> Column:
     return c
 
 
-def _class(chars) -> str:
-    return "[" + "".join(chars) + "]"
-
-
 def _at(start: int, offsets) -> str:
     return "".join(chr(start + o) for o in offsets)
 
@@ -64,8 +60,10 @@ def transliterate_indic(c: Column) -> Column:
 def fold_accents(c: Column) -> Column:
     """Compatibility decomposition with everything but ASCII left out."""
     many = _map(T.FOLD_MANY)
-    wide = F.array_join(F.transform(F.split(c, ""), lambda x: F.coalesce(F.element_at(many, x), x)), "")
-    narrow = F.when(c.rlike(_class(T.FOLD_MANY)), wide).otherwise(c)
+    one_byte = lambda x: F.octet_length(x) == 1
+    wide = F.array_join(F.transform(F.split(c, ""), lambda x: F.when(one_byte(x), x).otherwise(F.coalesce(F.element_at(many, x), x))), "")
+    # no letter from U+00C0 to U+00FF becomes several; only other characters are looked up one by one
+    narrow = F.when(c.rlike("[^\\x00-\\x7F\\u00C0-\\u00FF]"), wide).otherwise(c)
     return F.regexp_replace(F.translate(narrow, "".join(T.FOLD_ONE), "".join(T.FOLD_ONE.values())), r"[^\x00-\x7F]+", "")
 
 
