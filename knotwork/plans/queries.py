@@ -271,21 +271,16 @@ def tfidf_knn(spark, sf_dir):
 def pair_features(spark, sf_dir):
     s1, s2, s3 = sources(spark, sf_dir)
     pairs = blocking.rule_candidates(s1, s2.unionByName(s3), _CONFIG)
-    left, right = X.prepare_records(_short(s1)), X.prepare_records(_short(s2.unionByName(s3)))
+    left, right = X.prepare_records(s1), X.prepare_records(s2.unionByName(s3))
     return features.pair_features(pairs, left, right)
 
 
-def _short(e: DataFrame) -> DataFrame:
-    """Records with the numbers of the address as the address: names are what the text metrics compare."""
-    return e.withColumn("business_address", F.array_join(X.extract_numbers("business_address"), " "))
-
-
 @query()
 def gbt_pair_scores(spark, sf_dir):
     """Trees on cheap features of candidate pairs, against equal names."""
     s1, s2, s3 = sources(spark, sf_dir)
     pairs = blocking.rule_candidates(s1, s2.unionByName(s3), _CONFIG)
-    rows = features.pair_features(model.training_pairs(pairs, same_name(spark, sf_dir)), X.prepare_records(_short(s1)), X.prepare_records(_short(s2.unionByName(s3)))).persist()
+    rows = features.pair_features(model.training_pairs(pairs, same_name(spark, sf_dir)), X.prepare_records(s1), X.prepare_records(s2.unionByName(s3))).persist()
     inputs = [f for f in features.FEATURES if f not in ("nm_exact", "nm_sort_exact")]
     fitted = model.fit_trees(rows, inputs, trees=5, step=0.3, depth=3)
     return model.probability(fitted, rows).select("s1_id", "candidate_id", "label", F.round("probability", 6).alias("probability"))

@@ -38,3 +38,15 @@ def test_entry(spark):
 
 def test_keys_agree():
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
+@pytest.mark.parametrize("name", ["pair_features", "gbt_pair_scores"])
+def test_pair_queries_prepare_whole_addresses(spark, tiny, monkeypatch, name):
+    seen, prepare = [], core.X.prepare_records
+    monkeypatch.setattr(core.X, "prepare_records", lambda e: seen.append(e) or prepare(e))
+    monkeypatch.setattr(core.model, "fit_trees", lambda *a, **k: None)
+    monkeypatch.setattr(core.model, "probability", lambda fitted, rows: rows.withColumn("probability", core.F.lit(0.0)))
+    core.QUERIES[name](spark, tiny)
+    got = {r["entity_id"]: r["business_address"] for e in seen for r in e.collect()}
+    docs = spark.read.parquet(f"{tiny}/documents.parquet").collect()
+    assert got == {f"S{1 + r['doc_id'] % 3}-{r['doc_id']}": r["text"].partition("\n")[2] for r in docs}
