@@ -40,6 +40,12 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def row_keys(*columns: str) -> dict[str, Column]:
+    """``_row0``, ``_row1``: 128 bits that tell rows apart by these columns, nulls included; ids may repeat or be null."""
+    parts = [x for c in columns for x in (F.isnull(c), F.col(c).cast("string"))]
+    return {f"_row{salt}": F.xxhash64(F.lit(salt), *parts) for salt in (0, 1)}
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-case A-Z and nothing else; pure-ASCII values take the vectorised ``lower``."""
     return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, row_keys
 
 ORDER, BITS = 4, 6
 CLASSES, SPACE_OF_CODES = 1 << BITS, 1 << (BITS * ORDER)
@@ -114,12 +114,13 @@ class Model:
         return out.select("code", F.log(p).cast("float").alias("logp"))
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
+def score(docs: DataFrame, model: Model, keys: tuple[str, ...] = ()) -> DataFrame:
     """(doc_id, lang, n_symbols, cross_entropy) for each row; the latter is null for empty text.
 
     The distinct n-grams of each partition go to the shards of the model's tables; no text is shuffled.
+    ``keys`` are long columns to carry along.
     """
-    docs = docs.select("doc_id", "lang", "text")
+    docs = docs.select("doc_id", "lang", *keys, "text")
 
     def distinct(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros(SPACE_OF_CODES, bool)
@@ -142,14 +143,15 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                 c = codes(text)
                 n.append(len(c))
                 h.append(float(-logp[c].mean(dtype=np.float64)) if len(c) else None)
-            cols = [part.column("doc_id"), part.column("lang"), pa.array(n, pa.int64()), pa.array(h, pa.float64())]
-            yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "lang", "n_symbols", "cross_entropy"])
+            cols = [*(part.column(c) for c in ("doc_id", "lang", *keys)), pa.array(n, pa.int64()), pa.array(h, pa.float64())]
+            yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "lang", *keys, "n_symbols", "cross_entropy"])
 
-    kinds = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, lang string, n_symbols long, cross_entropy double"
+    carried = "".join(f"{c} long, " for c in keys)
+    kinds = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, lang string, {carried}n_symbols long, cross_entropy double"
     return docs.mapInArrow(apply, kinds)
 
 
-def classify(docs: DataFrame, labels: DataFrame, *, quantile: float = 0.995, margin: float = 0.05, prior: int = 40, least: int = 50) -> DataFrame:
+def classify(docs: DataFrame, labels: DataFrame, *, quantile: float = 0.995, margin: float = 0.05, prior: int = 40, least: int = 50, keys: tuple[str, ...] = ()) -> DataFrame:
     """One row per row of ``docs`` (doc_id, lang, text): ``n_symbols``, ``perplexity``, ``threshold``, ``kept``.
 
     Trusted text is that of documents labelled ``quality`` = 1, all of it. A document is kept if its
@@ -158,13 +160,14 @@ def classify(docs: DataFrame, labels: DataFrame, *, quantile: float = 0.995, mar
     ``prior`` symbols of that mean came first. A language (or null) with fewer than ``least`` trusted
     documents takes the threshold over all languages; without any trusted text everything is kept but
     empty texts. Null or empty text has no perplexity and is not kept. Labels may repeat, be null or name
-    unknown documents. Repeated rows are scored alike; other columns are not looked at.
+    unknown documents. Repeated rows are scored alike; other columns are not looked at, but ``keys`` (long)
+    are carried along.
     """
     good = labels.where("quality = 1 and doc_id is not null").select("doc_id").distinct()
-    docs = docs.select("doc_id", F.col("lang").cast("string").alias("lang"), "text")
+    docs = docs.select("doc_id", F.col("lang").cast("string").alias("lang"), *keys, "text")
     # a sort-merge join at every size: labels grow with the documents
     model = Model(docs.select("doc_id", "text").hint("merge").join(good, "doc_id", "left_semi"))
-    scored = cut(score(docs, model))
+    scored = cut(score(docs, model, keys))
     h = F.col("cross_entropy")
     trusted = scored.join(good, "doc_id", "left_semi").where("n_symbols > 0")
     means = trusted.groupBy("lang").agg(F.avg("cross_entropy").alias("mean"), F.count("*").alias("n"))
@@ -181,7 +184,7 @@ def classify(docs: DataFrame, labels: DataFrame, *, quantile: float = 0.995, mar
     out = drawn(scored).join(limits.withColumnRenamed("lang", "_l"), F.col("lang").eqNullSafe(F.col("_l")), "left").join(F.broadcast(over))
     limit = F.coalesce(F.when(F.col("n") >= least, F.col("limit")), "limit_all") + margin
     kept = F.coalesce(F.col("drawn") <= limit, h.isNotNull())
-    return out.select("doc_id", "lang", "n_symbols", F.exp(h).alias("perplexity"), F.exp(limit).alias("threshold"), kept.alias("kept"))
+    return out.select("doc_id", "lang", *keys, "n_symbols", F.exp(h).alias("perplexity"), F.exp(limit).alias("threshold"), kept.alias("kept"))
 
 
 def digest(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -189,6 +192,10 @@ def digest(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """All columns of the documents that the classifier keeps."""
-    kept = classify(docs, labels).where("kept").select("doc_id").distinct()
-    return docs.where("text <> ''").join(kept, "doc_id", "left_semi").select(*docs.columns)
+    """All columns of the documents that the classifier keeps.
+
+    Rows are judged each by its own text and language, also where doc_id is null or repeats.
+    """
+    keyed = docs.withColumns(row_keys("doc_id", "lang", "text"))
+    kept = classify(keyed, labels, keys=("_row0", "_row1")).where("kept").select("_row0", "_row1").distinct()
+    return keyed.where("text <> ''").join(kept, ["_row0", "_row1"], "left_semi").select(*docs.columns)

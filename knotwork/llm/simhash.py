@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .blockjoin import Links, compare, near_pairs, pack, unpack
-from .common import components, cut
+from .common import components, cut, row_keys
 
 SEED = 42
 
@@ -40,16 +40,18 @@ def fingerprint(text: str | None, shingle: int = 4) -> int:
     return int(np.packbits(2 * total > len(h), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = 4) -> DataFrame:
-    """(doc_id, fp) for each row; narrow."""
+def fingerprints(docs: DataFrame, shingle: int = 4, keys: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, fp) for each row; narrow. ``keys`` are long columns to carry along."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             fps = np.fromiter((fingerprint(t.as_py(), shingle) for t in part.column("text")), np.uint64, len(part))
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(fps.view(np.int64))], names=["doc_id", "fp"])
+            cols = [*(part.column(c) for c in ("doc_id", *keys)), pa.array(fps.view(np.int64))]
+            yield pa.RecordBatch.from_arrays(cols, names=["doc_id", *keys, "fp"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, fp long")
+    carried = "".join(f"{c} long, " for c in keys)
+    return docs.select("doc_id", *keys, "text").mapInArrow(run, f"doc_id {kind}, {carried}fp long")
 
 
 def vantage_points(fps: DataFrame, count: int, sample: int) -> list[int]:
@@ -145,8 +147,18 @@ def digest(docs: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """All columns of one row of each group of near-duplicates: that of the smallest doc_id."""
-    keep = near_duplicates(docs).where("doc_id = component_id").select("doc_id").distinct()
-    rows = docs.join(keep, "doc_id", "left_semi").select(*docs.columns)
-    first = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-    return rows.withColumn("_first", F.row_number().over(first)).where("_first = 1").drop("_first")
+    """All columns of one row of each group of near-duplicates: that of the smallest doc_id.
+
+    Groups are of rows, not of ids: unrelated texts of one doc_id are each kept, and a group whose ids are
+    all null keeps one row.
+    """
+    keys = ("_row0", "_row1")
+    keyed = docs.withColumns(row_keys("doc_id", "text"))
+    fps = cut(fingerprints(keyed, keys=keys))
+    first = F.min(F.struct(F.isnull("doc_id").alias("unnamed"), "doc_id", *keys))
+    classes = fps.groupBy("fp").agg(first.alias("m")).join(link(fps), "fp")
+    keep = classes.groupBy("root").agg(F.min("m").alias("m")).select(*[f"m.{c}" for c in keys])
+    rows = keyed.join(keep, list(keys), "left_semi")
+    # rows of equal id and text are one key
+    once = Window.partitionBy(*keys).orderBy(F.xxhash64(*docs.columns))
+    return rows.withColumn("_first", F.row_number().over(once)).where("_first = 1").select(*docs.columns)

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from knotwork.llm import mixing, ngram_quality
+from knotwork.llm import mixing, ngram_quality, simhash
 from tests.llm.test_models import Brute
 from tests.llm.test_text_ops import SPACE, WORD, brute_simhash, brute_targets, fold, rows_of
 
@@ -114,3 +114,17 @@ def test_stages_keep_the_columns(spark, tiny, odd, empty):
             assert out.count() <= 2 * frame.count()
     assert mixing.materialise(odd).where(F.col("text") == "").count() == 1
     assert ngram_quality.keep_good(odd, spark.read.parquet(f"{tiny}/labels.parquet")).columns == odd.columns
+
+
+def test_rows_not_ids_are_kept(spark, tiny):
+    docs, labels = spark.read.parquet(f"{tiny}/documents.parquet"), spark.read.parquet(f"{tiny}/labels.parquet")
+    verdicts = ngram_quality.classify(docs, labels).join(labels, "doc_id", "left_anti").join(docs.select("doc_id", "text"), "doc_id").orderBy("doc_id").collect()
+    good, bad = (next(r for r in verdicts if r["kept"] == k and r["text"]) for k in (True, False))
+    more = spark.createDataFrame([(None, good["text"], good["lang"], "s", 1), (good["doc_id"], bad["text"], bad["lang"], "s", 1)], docs.schema)
+    got = {(r["doc_id"], r["text"]) for r in ngram_quality.keep_good(docs.unionByName(more), labels).collect()}
+    assert (None, good["text"]) in got and (good["doc_id"], good["text"]) in got and (good["doc_id"], bad["text"]) not in got
+
+    texts = [" ".join(f"{a}{i}" for i in range(40)) for a in "abc"]
+    rows = [(None, texts[0]), (None, texts[0]), (1, texts[1]), (1, texts[2]), (1, texts[2]), (2, texts[2])]
+    got = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert rows_of(got) == sorted([(None, texts[0]), (1, texts[1]), (1, texts[2])], key=str)
