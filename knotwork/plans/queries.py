@@ -178,6 +178,8 @@ def tri_state_match(spark, sf_dir):
 
 STOP, CAP = 40, 50
 _CONFIG = blocking.BlockerConfig(max_key_targets=STOP, max_candidates=CAP, use_tfidf=False)
+# the SQL of the candidate queries has STOP; queries without SQL have the operator's own limit
+_PAIRS = blocking.BlockerConfig(max_candidates=CAP, use_tfidf=False)
 
 
 @query(f"with {Q.keys()} select entity_id, key_order, key from key_rows")
@@ -270,7 +272,7 @@ def tfidf_knn(spark, sf_dir):
 @query()
 def pair_features(spark, sf_dir):
     s1, s2, s3 = sources(spark, sf_dir)
-    pairs = blocking.rule_candidates(s1, s2.unionByName(s3), _CONFIG)
+    pairs = blocking.rule_candidates(s1, s2.unionByName(s3), _PAIRS)
     left, right = X.prepare_records(s1), X.prepare_records(s2.unionByName(s3))
     return features.pair_features(pairs, left, right)
 
@@ -279,7 +281,7 @@ def pair_features(spark, sf_dir):
 def gbt_pair_scores(spark, sf_dir):
     """Trees on cheap features of candidate pairs, against equal names."""
     s1, s2, s3 = sources(spark, sf_dir)
-    pairs = blocking.rule_candidates(s1, s2.unionByName(s3), _CONFIG)
+    pairs = blocking.rule_candidates(s1, s2.unionByName(s3), _PAIRS)
     rows = features.pair_features(model.training_pairs(pairs, same_name(spark, sf_dir)), X.prepare_records(s1), X.prepare_records(s2.unionByName(s3))).persist()
     inputs = [f for f in features.FEATURES if f not in ("nm_exact", "nm_sort_exact")]
     fitted = model.fit_trees(rows, inputs, trees=5, step=0.3, depth=3)

@@ -50,3 +50,13 @@ def test_pair_queries_prepare_whole_addresses(spark, tiny, monkeypatch, name):
     got = {r["entity_id"]: r["business_address"] for e in seen for r in e.collect()}
     docs = spark.read.parquet(f"{tiny}/documents.parquet").collect()
     assert got == {f"S{1 + r['doc_id'] % 3}-{r['doc_id']}": r["text"].partition("\n")[2] for r in docs}
+
+
+@pytest.mark.parametrize("name", ["pair_features", "gbt_pair_scores"])
+def test_pair_queries_use_the_operators_values(spark, tiny, monkeypatch, name):
+    configs, candidates = [], core.blocking.rule_candidates
+    monkeypatch.setattr(core.blocking, "rule_candidates", lambda s1, targets, config: configs.append(config) or candidates(s1, targets, config))
+    monkeypatch.setattr(core.model, "fit_trees", lambda *a, **k: None)
+    monkeypatch.setattr(core.model, "probability", lambda fitted, rows: rows.withColumn("probability", core.F.lit(0.0)))
+    core.QUERIES[name](spark, tiny)
+    assert [c.max_key_targets for c in configs] == [250]
