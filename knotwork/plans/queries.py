@@ -284,7 +284,8 @@ def gbt_pair_scores(spark, sf_dir):
     pairs = blocking.rule_candidates(s1, s2.unionByName(s3), _PAIRS)
     rows = features.pair_features(model.training_pairs(pairs, same_name(spark, sf_dir)), X.prepare_records(s1), X.prepare_records(s2.unionByName(s3))).persist()
     inputs = [f for f in features.FEATURES if f not in ("nm_exact", "nm_sort_exact")]
-    fitted = model.fit_trees(rows, inputs, trees=5, step=0.3, depth=3)
+    c = model.ModelConfig()
+    fitted = model.fit_trees(rows, inputs, trees=c.trees, step=c.step, depth=c.depth, min_child=c.min_child, seed=c.seed)
     return model.probability(fitted, rows).select("s1_id", "candidate_id", "label", F.round("probability", 6).alias("probability"))
 
 

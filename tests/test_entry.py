@@ -56,7 +56,9 @@ def test_pair_queries_prepare_whole_addresses(spark, tiny, monkeypatch, name):
 def test_pair_queries_use_the_operators_values(spark, tiny, monkeypatch, name):
     configs, candidates = [], core.blocking.rule_candidates
     monkeypatch.setattr(core.blocking, "rule_candidates", lambda s1, targets, config: configs.append(config) or candidates(s1, targets, config))
-    monkeypatch.setattr(core.model, "fit_trees", lambda *a, **k: None)
+    fits = []
+    monkeypatch.setattr(core.model, "fit_trees", lambda *a, **k: fits.append((k["trees"], k["step"], k["depth"])))
     monkeypatch.setattr(core.model, "probability", lambda fitted, rows: rows.withColumn("probability", core.F.lit(0.0)))
     core.QUERIES[name](spark, tiny)
     assert [c.max_key_targets for c in configs] == [250]
+    assert fits == ([(150, 0.05, 5)] if name == "gbt_pair_scores" else [])
