@@ -26,20 +26,40 @@ def sha(x):
     return hashlib.sha256(x if isinstance(x, bytes) else x.encode()).hexdigest()
 
 
+def held_by(rows):
+    """Documents by line key; rows of one doc_id are one document, without doc_id those of one text are."""
+    held = collections.defaultdict(set)
+    for r in rows:
+        for line in (r[1] or "").split("\n"):
+            held[fold(line).strip(SPACE)].add((r[0], r[1] if r[0] is None else None))
+    return held
+
+
 def test_line_dedup(odd, odd_rows):
-    held = collections.Counter()
-    for r in odd_rows:
-        held.update({fold(line).strip(SPACE) for line in (r[1] or "").split("\n")})
+    held = held_by(odd_rows)
     want = []
     for r in odd_rows:
         lines = (r[1] or "").split("\n")
-        keep = [x for x in lines if not ((k := fold(x).strip(SPACE)) and held[k] >= 10)]
+        keep = [x for x in lines if not ((k := fold(x).strip(SPACE)) and len(held[k]) >= 10)]
         want.append((r[0], len(lines), len(lines) - len(keep), sha("\n".join(keep))))
     assert rows_of(line_dedup.digest(odd)) == sorted(want, key=str)
     # the same with every key heavy
     assert rows_of(line_dedup.dedup_lines(odd, heavy_share=1).select("doc_id", "n_lines", "n_dropped", line_dedup.sha256_hex(F.col("text")))) == sorted(want, key=str)
 
 
+def test_line_dedup_counts_documents(spark):
+    import duckdb
+
+    rows = [(1, "twice told\nown one")] * 10 + [(i, "Common \nx") for i in range(2, 11)] + [(None, "common\nx"), (None, "common\nx"), (11, " x")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = rows_of(line_dedup.digest(df))
+    assert {r[:3] for r in got if r[0] == 1} == {(1, 2, 0)} and len(got) == len(rows)
+    assert {r[1:3] for r in got if r[0] != 1} == {(2, 2), (1, 1)}
+    con = duckdb.connect()
+    con.register("documents", df.toArrow())
+    assert sorted(con.execute(line_dedup.SQL).fetchall(), key=str) == got
+
+
 def test_quality_rules(odd, odd_rows):
     got = {tuple(r)[:7] for r in quality_rules.digest(odd).collect()}
     for r in odd_rows:
