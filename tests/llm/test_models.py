@@ -50,7 +50,7 @@ def test_toxicity_without_labels(spark, odd, empty):
 
 
 class Brute:
-    """Interpolated modified Kneser-Ney over tuples of symbol classes."""
+    """Interpolated modified Kneser-Ney over tuples of bytes."""
 
     def __init__(self, texts):
         self.levels = []
@@ -71,12 +71,12 @@ class Brute:
 
     @staticmethod
     def grams(text):
-        s = [0] * (ngram_quality.ORDER - 1) + [int(ngram_quality._TABLE[ord(c)]) for c in text or ""]
+        s = bytes(ngram_quality.ORDER - 1) + (text or "").encode()
         return [tuple(s[i : i + ngram_quality.ORDER]) for i in range(len(s) - ngram_quality.ORDER + 1)]
 
     def probability(self, g, level=0):
         if level == len(self.levels):
-            return 1 / ngram_quality.CLASSES
+            return 1 / 256
         counts, d, total, left = self.levels[level]
         low = self.probability(g[1:], level + 1)
         if not total[g[:-1]]:
@@ -92,16 +92,27 @@ class Brute:
 def test_kneser_ney(spark, tiny):
     docs = spark.read.parquet(f"{tiny}/documents.parquet")
     rows = docs.orderBy("doc_id").collect()
-    model = ngram_quality.Model(docs.where("doc_id < 60"))
     brute = Brute([r["text"] for r in rows if r["doc_id"] < 60])
-    assert sum(brute.probability((5, 6, 7, c)) for c in range(64)) == pytest.approx(1)
-    odd = spark.createDataFrame([(900, None, ""), (901, "xx", None), (902, None, "日本語 ééé"), (None, None, "the of")], "doc_id long, lang string, text string")
-    got = ngram_quality.score(docs.select("doc_id", "lang", "text").unionByName(odd), model).collect()
-    want = {r["doc_id"]: r["text"] for r in rows} | {900: "", 901: None, 902: "日本語 ééé", None: "the of"}
-    assert len(got) == len(want)
-    for r in got:
-        h = brute.entropy(want[r["doc_id"]])
-        assert r["cross_entropy"] is None if h is None else r["cross_entropy"] == pytest.approx(h, abs=1e-5)
+    assert sum(brute.probability((*b"f th", c)) for c in range(256)) == pytest.approx(1)
+    ids = docs.where("doc_id < 60").select("doc_id")
+    odd = [(900, None, ""), (901, "xx", None), (902, None, "日本語 ééé\0"), (None, None, "the of"), (903, "en", "the house of cards " * 120_000), (904, "en", "the of"), (904, "en", "the of")]
+    docs = docs.select("doc_id", "lang", "text").unionByName(spark.createDataFrame(odd, "doc_id long, lang string, text string"))
+    want = {r["doc_id"]: brute.entropy(r["text"]) for r in rows} | {i: brute.entropy(t) for i, _, t in odd if i != 903}
+    long = brute.grams(odd[4][2])
+    seen = collections.Counter(long)
+    want[903] = -sum(n * math.log(brute.probability(g)) for g, n in seen.items()) / len(long)
+    for bits, sizes in ((1 << 24, {}), (64, {"block_bytes": 20_000, "most_common": 500}), (1 << 24, {"most_common": 0})):
+        model = ngram_quality.Model(ngram_quality.tally(ngram_quality.texts_of(docs, ids, bits)), shards=7)
+        got = ngram_quality.score(docs, model, **sizes).collect()
+        assert len(got) == len(rows) + len(odd)
+        for r in got:
+            h = want[r["doc_id"]]
+            assert r["cross_entropy"] is None if h is None else r["cross_entropy"] == pytest.approx(h, abs=1e-5)
+
+
+def test_model_grows_with_the_text(spark, tiny, small):
+    counts = [ngram_quality.tally(spark.read.parquet(f"{d}/documents.parquet")).count() for d in (tiny, small)]
+    assert counts[1] > 1.2 * counts[0]
 
 
 def test_quality_keeps_clean_documents(spark, small, odd, empty):

@@ -14,11 +14,11 @@ from tests.llm.test_models import Brute
 from tests.llm.test_text_ops import SPACE, WORD, brute_simhash, brute_targets, fold, rows_of
 
 
-def quality(rows, good, *, quantile=0.995, margin=0.05, prior=40, least=50):
-    model = Brute([r["text"] for r in rows if r["doc_id"] in good])
+def quality(rows, good, held, *, quantile=0.995, margin=0.05, prior=40, least=50):
+    model = Brute([r["text"] for r in rows if r["doc_id"] in good - held])
     h = {r["doc_id"]: model.entropy(r["text"]) for r in rows}
-    n = {r["doc_id"]: len(r["text"] or "") for r in rows}
-    trusted = [r for r in rows if r["doc_id"] in good and n[r["doc_id"]]]
+    n = {r["doc_id"]: len((r["text"] or "").encode()) for r in rows}
+    trusted = [r for r in rows if r["doc_id"] in good & held and n[r["doc_id"]]]
     by = collections.defaultdict(list)
     for r in trusted:
         by[r["lang"]].append(h[r["doc_id"]])
@@ -92,7 +92,8 @@ def test_pipeline(spark, tiny):
     docs = spark.read.parquet(f"{tiny}/documents.parquet")
     rows = [r.asDict() for r in docs.orderBy("doc_id").collect()]
     good = {r["doc_id"] for r in spark.read.parquet(f"{tiny}/labels.parquet").where("quality = 1").collect()}
-    for stage in (lambda x: quality(x, good), lines, near, mixture):
+    held = {r[0] for r in docs.where("pmod(xxhash64('held out', cast(doc_id as string)), 5) = 0").collect()}
+    for stage in (lambda x: quality(x, good, held), lines, near, mixture):
         rows = stage(rows)
     ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(P.path("byte_bpe_multi_50k.tiktoken"), "rb"))}
     enc = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
