@@ -1,15 +1,20 @@
 """Substring dedup with repeated-phrase automata.
 
 Documents are dealt into shards. A phrase of a few words, picked from every window by least hash, stands
-for the windows around it; phrases and windows that other documents hold too are confirmed by a shuffle of
-hashes. Each shard compiles the confirmed passages into an Aho-Corasick automaton over words and streams
-all its documents through it to locate every occurrence.
+for the windows around it; phrases that several documents hold are confirmed by a shuffle of hashes, and the
+shard of the first document that holds one writes out its words. Each shard compiles the phrases it is sent
+into an Aho-Corasick automaton over words and streams all its documents through it to locate every
+occurrence. Only windows around an occurrence are looked at further: where a phrase stands in different
+surroundings, the windows' hashes are counted across shards.
 
 Every window of two documents with equal words has the same least phrase, so none is missed.
 """
 
 from __future__ import annotations
 
+import math
+from itertools import repeat
+
 import ahocorasick
 import numpy as np
 import pyarrow as pa
@@ -70,7 +75,8 @@ class Batch:
 
     def __init__(self, ids: list, texts: list, window: int, phrase: int):
         raw = [(t or "").encode() for t in texts]
-        data = np.frombuffer(b"\n".join(raw) + b"\n", np.uint8)
+        self.data = b"\n".join(raw) + b"\n"
+        data = np.frombuffer(self.data, np.uint8)
         space = _IS_SPACE[data]
         edge = np.flatnonzero(np.diff(np.concatenate([[True], space]).astype(np.int8)))
         self.starts, self.ends = edge[0::2], edge[1::2]
@@ -79,7 +85,7 @@ class Batch:
         self.first = np.searchsorted(self.starts, at)  # of each document's words, and the end of the last
         doc = np.repeat(np.arange(len(raw)), np.diff(self.first))
         self.one, self.two = Hashed(self.words, _BASES[1]), Hashed(self.words, _BASES[2])
-        n = len(self.words)
+        self.window, self.phrase, n = window, phrase, len(self.words)
         has_id = np.array([i is not None for i in ids], bool)
         self.ids = np.array([0 if i is None else i for i in ids], np.int64)
         if n >= window:
@@ -92,6 +98,19 @@ class Batch:
             self.at = self.doc = np.zeros(0, np.int64)
             self.least = np.zeros(0, U)
 
+    def phrases(self) -> np.ndarray:
+        """Hash of the phrase that begins at each word."""
+        k = np.arange(max(0, len(self.words) - self.phrase + 1))
+        return self.one.of(k, k + self.phrase)
+
+    def around(self, start: np.ndarray, p: np.ndarray) -> np.ndarray:
+        """Which windows have one of the phrases ``p``, located at ``start``, as their own."""
+        if not len(start) or not len(self.at):
+            return np.zeros(len(self.at), bool)
+        found = np.full(len(self.words) - self.phrase + 1, np.iinfo(np.uint64).max)
+        found[start] = p
+        return _least(found, self.window - self.phrase + 1)[self.at] == self.least
+
     def pieces(self) -> tuple[np.ndarray, np.ndarray]:
         """First and last (inclusive) of each run of windows of one document with the same phrase."""
         if not len(self.at):
@@ -130,6 +149,53 @@ def _member(x: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return table[at] == x, at
 
 
+class Phrases:
+    """Aho-Corasick automaton of phrases over words. A word is spelled as two characters, of an alphabet each, so
+    that a node has few children and a match begins with a word."""
+
+    def __init__(self, phrases: list[bytes]):
+        split = [p.split() for p in phrases]
+        self.numbers = {w: n for n, w in enumerate(dict.fromkeys(w for p in split for w in p), 1)}
+        self.base = math.isqrt(len(self.numbers)) + 1
+        self.automaton, self.length = ahocorasick.Automaton(), len(split[0]) if split else 0
+        for n, words in enumerate(split):
+            self.automaton.add_word(self._spell(words), n)
+        self.automaton.make_automaton()
+
+    def _spell(self, words: list[bytes]) -> str:
+        number = np.fromiter(map(self.numbers.get, words, repeat(0)), np.int64, len(words))
+        out = np.empty(2 * len(words), "<u4")
+        out[0::2], out[1::2] = number // self.base + 0x100, number % self.base + 0x10000
+        return out.tobytes().decode("utf-32-le")
+
+    def find(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Where phrases begin, and which they are."""
+        if not self.length:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        got = np.array(list(self.automaton.iter(self._spell(words))), np.int64).reshape(-1, 2)
+        return got[:, 0] // 2 - self.length + 1, got[:, 1]
+
+
+class Confirmed:
+    """What a shard was sent: phrases with their words and, unless surroundings differ, the first document that has them."""
+
+    def __init__(self, marks: pa.Table):
+        p, owner = (marks.column(c).to_numpy(zero_copy_only=False) for c in ("p", "owner"))
+        self.p, self.sure = p.astype(np.int64).view(U), ~np.isnan(owner.astype(float))
+        self.owner = marks.column("owner").fill_null(0).to_numpy()
+        self.order = np.argsort(self.p)
+        self.trie = Phrases([w.encode() for w in marks.column("words").to_pylist()])
+
+    def locate(self, b: Batch) -> tuple[np.ndarray, np.ndarray]:
+        """Windows around located phrases: those whose owner is known by the phrase, and those to be hashed."""
+        start, which = self.trie.find(b.data.split())
+        sure = self.sure[which]
+        return tuple(np.flatnonzero(b.around(start[k], self.p[which[k]])) for k in (sure, ~sure))
+
+    def owners(self, least: np.ndarray) -> np.ndarray:
+        return self.owner[self.order[np.searchsorted(self.p[self.order], least)]]
+
+
 def remove_repeats(docs: DataFrame, *, window: int = 50, phrase: int = 16, shard_bytes: int = 4_000_000, least_shards: int = 32) -> DataFrame:
     """All columns of ``docs`` (any named like a result are replaced), ``text`` without repeats, ``n_words``, ``n_removed``.
 
@@ -138,9 +204,10 @@ def remove_repeats(docs: DataFrame, *, window: int = 50, phrase: int = 16, shard
     words and comes back empty. Rows of the same doc_id are no smaller than each other, so repeated rows
     lose nothing to each other; a row without doc_id neither loses nor claims words. ``doc_id`` is integer.
 
-    Shuffled are the text, once; for about one word in 18 a phrase's hash per shard; and hashes of windows
+    Shuffled are the text, once; for about one word in 18 a phrase's hash per shard; the words of confirmed
+    phrases, once for each shard that holds them; and hashes of windows
     only where documents hold the same phrase in different surroundings. A key has one row per shard
-    at most, however common it is. A shard's automaton is no larger than its own documents.
+    at most, however common it is. A shard's automaton holds no phrase that its own documents don't.
     """
     docs = docs.drop("n_words", "n_removed")
     spark = docs.sparkSession
@@ -148,6 +215,7 @@ def remove_repeats(docs: DataFrame, *, window: int = 50, phrase: int = 16, shard
     shards = max(least_shards, total // shard_bytes + 1)
     by = docs.withColumn("_shard", F.pmod(F.xxhash64("doc_id", "text"), F.lit(shards)).cast("int"))
     by = by.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "_shard")
+    dealt = by.groupBy("_shard")
 
     def phrases(key, table):
         got = []
@@ -163,17 +231,29 @@ def remove_repeats(docs: DataFrame, *, window: int = 50, phrase: int = 16, shard
         return pa.table({"p": k[0], "_shard": shard, "lo": lo[0], "hi": hi[0], "body_lo": lo[1], "body_hi": hi[1]})
 
     kinds = "p long, _shard int, lo long, hi long, body_lo long, body_hi long"
-    found = by.groupBy("_shard").applyInArrow(phrases, kinds)
+    found = dealt.applyInArrow(phrases, kinds)
     same = Window.partitionBy("p")
-    found = found.withColumns({"owner": F.min("lo").over(same), "last": F.max("hi").over(same), "b0": F.min("body_lo").over(same), "b1": F.max("body_hi").over(same)})
+    found = found.withColumns({"first": F.min("lo").over(same), "last": F.max("hi").over(same), "b0": F.min("body_lo").over(same), "b1": F.max("body_hi").over(same)})
+    found = found.where("first < last")
+
+    def write(key, table, wanted):
+        left, got = np.sort(wanted.column("p").to_numpy().view(U)), {}
+        for _, b in _batches(table, window, phrase) if len(left) else ():
+            hash_, words = b.phrases(), b.data.split()
+            for k in np.flatnonzero(_member(hash_, left)[0]).tolist():
+                if (h := hash_[k].view(np.int64).item()) not in got:
+                    got[h] = b" ".join(words[k : k + phrase]).decode()
+        return pa.table({"p": pa.array(list(got), pa.int64()), "words": pa.array(list(got.values()), pa.string())})
+
+    wanted = found.where("lo = first").select("_shard", "p").groupBy("_shard")
+    words = dealt.cogroup(wanted).applyInArrow(write, "p long, words string").groupBy("p").agg(F.min("words").alias("words"))
     # windows of a phrase with the same surroundings everywhere begin in the first document that has it
-    known = found.where("owner < last and (b0 <> b1 or hi > owner)").select("_shard", "p", F.when(F.col("b0") == F.col("b1"), F.col("owner")).alias("owner"))
+    known = found.where("b0 <> b1 or hi > first").select("_shard", "p", F.when(F.col("b0") == F.col("b1"), F.col("first")).alias("owner")).join(words, "p")
 
     def windows(key, table, marks):
-        want = np.sort(marks.filter(pa.compute.is_null(marks.column("owner"))).column("p").to_numpy().view(U)) if len(marks) else np.zeros(0, U)
-        got = []
-        for _, b in _batches(table, window, phrase) if len(want) else ():
-            hit, _ = _member(b.least, want)
+        sent, got = Confirmed(marks), []
+        for _, b in _batches(table, window, phrase) if not sent.sure.all() else ():
+            hit = sent.locate(b)[1]
             at, own = b.at[hit], b.ids[b.doc[hit]]
             k, lo, hi = _reduce([b.one.of(at, at + window).view(np.int64), b.two.of(at, at + window).view(np.int64)], [own], [own])
             got.append((*k, *lo, *hi))
@@ -181,84 +261,49 @@ def remove_repeats(docs: DataFrame, *, window: int = 50, phrase: int = 16, shard
         k, lo, hi = _reduce(cols[:2], cols[2:3], cols[3:4])
         return pa.table({"h": k[0], "g": k[1], "_shard": np.full(len(k[0]), key[0].as_py(), np.int32), "lo": lo[0], "hi": hi[0]})
 
-    each = by.groupBy("_shard").cogroup(known.where("owner is null").groupBy("_shard")).applyInArrow(windows, "h long, g long, _shard int, lo long, hi long")
+    each = dealt.cogroup(known.where("owner is null").groupBy("_shard")).applyInArrow(windows, "h long, g long, _shard int, lo long, hi long")
     each = each.withColumn("owner", F.min("lo").over(Window.partitionBy("h", "g"))).where("hi > owner")
-    marks = known.where("owner is not null").select("_shard", F.lit(None).cast("long").alias("h"), F.col("p").alias("g"), "owner")
-    marks = marks.unionByName(each.select("_shard", "h", "g", "owner"))
+    none = F.lit(None).cast("long")
+    marks = known.select("_shard", "p", "owner", "words", none.alias("h"), none.alias("g"))
+    marks = marks.unionByName(each.select("_shard", none.alias("p"), "owner", F.lit(None).cast("string").alias("words"), "h", "g"))
     names = [c for c in by.columns if c != "_shard"]
 
     def stream(key, table, marks):
-        return _stream(table.select(names), marks, window, phrase)
+        return stream_shard(table.select(names), marks, window, phrase)
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + ", n_words long, n_removed long"
-    return by.groupBy("_shard").cogroup(marks.groupBy("_shard")).applyInArrow(stream, schema)
+    return dealt.cogroup(marks.groupBy("_shard")).applyInArrow(stream, schema)
 
 
-def _stream(table: pa.Table, marks: pa.Table, window: int, phrase: int) -> pa.Table:
-    """Compiles the confirmed passages of a shard and streams its documents through the automaton."""
-    plain = pa.compute.is_null(marks.column("h"))
-    by_phrase, by_window = marks.filter(plain), marks.filter(pa.compute.invert(plain))
-    p, p_owner = by_phrase.column("g").to_numpy().view(U), by_phrase.column("owner").to_numpy()
-    order = np.argsort(p)
-    p, p_owner = p[order], p_owner[order]
-    h, g, h_owner = (by_window.column(c).to_numpy() for c in ("h", "g", "owner"))
+def stream_shard(table: pa.Table, marks: pa.Table, window: int, phrase: int) -> pa.Table:
+    """A shard's rows without repeats. ``marks``: confirmed phrases (p, words, owner or null), and windows that
+    smaller documents hold too (h, g, owner), of which only those around a located phrase are looked up."""
+    plain = pa.compute.is_valid(marks.column("p"))
+    sent, by_window = Confirmed(marks.filter(plain)), marks.filter(pa.compute.invert(plain))
+    h, g, owner = (by_window.column(c).to_numpy() for c in ("h", "g", "owner"))
     order = np.argsort(h.view(U))
-    h, g, h_owner = h.view(U)[order], g.view(U)[order], h_owner[order]
-
-    # confirmed passages: runs of windows that begin in a smaller document, with the largest of those ids
-    passages: list[tuple[int, int, int, int]] = []
-    batches = list(_batches(table, window, phrase)) if len(p) or len(h) else []
-    for n, (_, b) in enumerate(batches):
-        hit, at = _member(b.least, p)
-        owner = np.where(hit, p_owner[at] if len(p) else 0, np.iinfo(np.int64).max)
-        if len(h):
-            one, two = b.one.of(b.at, b.at + window), b.two.of(b.at, b.at + window)
-            hit, at = _member(one, h)
-            hit &= g[at] == two
-            owner = np.where(hit, np.minimum(owner, h_owner[at]), owner)
-        gone = np.flatnonzero(owner < b.ids[b.doc])
-        if not len(gone):
-            continue
-        start = np.concatenate([[0], np.flatnonzero((np.diff(b.at[gone]) != 1) | (np.diff(b.doc[gone]) != 0)) + 1])
-        most = np.maximum.reduceat(owner[gone], start)
-        end = np.concatenate([start[1:], [len(gone)]]) - 1
-        passages += zip([n] * len(start), b.at[gone][start].tolist(), (b.at[gone][end] + window).tolist(), most.tolist(), strict=True)
-
-    removed: dict[int, list[tuple[int, int]]] = {}
-    if passages:
-        vocabulary = np.unique(np.concatenate([b.words for _, b in batches]))
-        numbers = [np.searchsorted(vocabulary, b.words).tolist() for _, b in batches]
-        automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
-        best: dict[tuple, int] = {}
-        for n, s, e, o in passages:
-            words = tuple(numbers[n][s:e])
-            best[words] = min(o, best.get(words, o))
-        for words, o in best.items():
-            automaton.add_word(words, (len(words), o))
-        best.clear()
-        automaton.make_automaton()
-        for n, (row, b) in enumerate(batches):
-            for d in range(len(b.ids)):
-                s, e = int(b.first[d]), int(b.first[d + 1])
-                if e - s >= window:
-                    own = int(b.ids[d])
-                    spans = [(end + 1 - length, end + 1) for end, (length, o) in automaton.iter(tuple(numbers[n][s:e])) if own > o]
-                    if spans:
-                        removed[row + d] = spans
+    h, g, owner = h.view(U)[order], g.view(U)[order], owner[order]
     texts, n_words, n_removed = [], [], []
-    ids = table.column("doc_id").to_pylist()
-    for i, t in enumerate(table.column("text").to_pylist()):
-        words = (t or "").encode().split()
-        spans = removed.get(i) if ids[i] is not None else None
-        n_words.append(len(words))
-        if spans:
-            change = np.zeros(len(words) + 1, np.int32)
-            np.add.at(change, [s for s, _ in spans], 1)
-            np.add.at(change, [e for _, e in spans], -1)
-            keep = np.cumsum(change[:-1]) == 0
-            words = [w for w, k in zip(words, keep.tolist(), strict=True) if k]
-        n_removed.append(n_words[-1] - len(words))
-        texts.append(b" ".join(words).decode())
+    for _, b in _batches(table, window, phrase):
+        words, gone = b.data.split(), np.zeros(len(b.words) + 1, np.int64)
+        if len(sent.p):
+            sure, hashed = sent.locate(b)
+            sure = sure[sent.owners(b.least[sure]) < b.ids[b.doc[sure]]]
+            at = b.at[hashed]
+            hit, k = _member(b.one.of(at, at + window), h)
+            k, hashed, at = k[hit], hashed[hit], at[hit]
+            hashed = hashed[(g[k] == b.two.of(at, at + window)) & (owner[k] < b.ids[b.doc[hashed]])]
+            at = b.at[np.concatenate([sure, hashed])]
+            np.add.at(gone, at, 1)
+            np.add.at(gone, at + window, -1)
+        keep = np.cumsum(gone[:-1]) == 0
+        for s, e in zip(b.first[:-1].tolist(), b.first[1:].tolist(), strict=True):
+            own = words[s:e]
+            if not keep[s:e].all():
+                own = [words[k] for k in (np.flatnonzero(keep[s:e]) + s).tolist()]
+            texts.append(b" ".join(own).decode())
+            n_words.append(e - s)
+            n_removed.append(e - s - len(own))
     out = table.set_column(table.column_names.index("text"), "text", pa.array(texts, pa.string()))
     return out.append_column("n_words", pa.array(n_words, pa.int64())).append_column("n_removed", pa.array(n_removed, pa.int64()))
 

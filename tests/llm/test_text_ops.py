@@ -2,8 +2,10 @@
 
 import collections
 import hashlib
+import math
 import re
 
+import numpy as np
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -120,6 +122,34 @@ def test_substring_dedup_on_documents(spark, tiny):
     assert rows_of(substring_dedup.digest(docs)) == brute_repeats([(r["doc_id"], r["text"]) for r in docs.collect()])
 
 
+def test_removals_come_from_the_automaton():
+    import pyarrow as pa
+
+    words = [f"w{i}" for i in range(120)]
+    table = pa.table({"doc_id": [5, 6], "text": [" ".join(words)] * 2})
+    (_, b), = substring_dedup._batches(table, 50, 16)
+    hashes, kinds = b.phrases().view("int64").tolist(), pa.schema([("p", pa.int64()), ("owner", pa.int64()), ("words", pa.string()), ("h", pa.int64()), ("g", pa.int64())])
+    sent = [{"p": hashes[k], "owner": 5, "words": " ".join(words[k : k + 16])} for k in range(105)]
+
+    def removed(marks):
+        return substring_dedup.stream_shard(table, pa.Table.from_pylist(marks, kinds), 50, 16).column("n_removed").to_pylist()
+
+    assert removed(sent) == [0, 120]
+    assert removed([]) == [0, 0]
+    assert removed([m | {"words": m["words"] + "!"} for m in sent]) == [0, 0]  # the hashes alone locate nothing
+    at = np.arange(10, 41)  # the windows of 80 words of the first document
+    looked_up = [{"owner": 5, "h": int(x), "g": int(y)} for x, y in zip(b.one.of(at, at + 50).view("int64"), b.two.of(at, at + 50).view("int64"), strict=True)]
+    assert removed([m | {"owner": None} for m in sent] + looked_up) == [0, 80]  # windows of sure phrases aren't looked up
+    assert removed(looked_up) == [0, 0]
+
+
+def test_phrases_are_found_at_words():
+    trie = substring_dedup.Phrases([b"a b", b"b a", "é a".encode()])
+    start, which = trie.find("x a b a é a a b".encode().split())
+    assert list(zip(start.tolist(), which.tolist(), strict=True)) == [(1, 0), (2, 1), (4, 2), (6, 0)]
+    assert not len(substring_dedup.Phrases([]).find([b"a"])[0])
+
+
 def brute_simhash(rows):
     fps = []
     for r in rows:
@@ -156,8 +186,6 @@ def test_simhash_on_documents(spark, small):
 
 
 def test_vantage_points_lose_no_pair(spark):
-    import numpy as np
-
     rng = np.random.default_rng(5)
     base = rng.integers(0, 1 << 63, 300, dtype=np.int64).astype(np.uint64)
     near = base[rng.integers(0, 300, 900)]
@@ -188,25 +216,49 @@ def test_keep_one(odd, odd_rows):
     assert sorted(kept) == sorted(want) and set(simhash.keep_one(odd).columns) == set(odd.columns)
 
 
+def brute_mix(rows):
+    """taken by row of (doc_id, text, source); equal rows are queued together."""
+    times = collections.Counter(rows)
+    sizes = collections.Counter()
+    for _, text, source in rows:
+        sizes[source] += len(WORD.findall(text or ""))
+    target, taken = brute_targets(sizes), {}
+    for s in target:
+        queue = sorted((r for r in times if r[2] == s), key=lambda r: (hashlib.md5(f"mix-{'' if r[0] is None else r[0]}".encode()).hexdigest(), str(r[0])))
+        at = 0
+        for r in queue:
+            size = len(WORD.findall(r[1] or "")) * times[r]
+            taken[r] = sum(max(0, min(size, math.floor(target[s]) - at - copy * sizes[s])) for copy in (0, 1)) // times[r]
+            at += size
+    return [(r[0], len(WORD.findall(r[1] or "")), sizes[r[2]], pytest.approx(target[r[2]]), taken[r]) for r in rows]
+
+
 def test_mixing(odd, odd_rows, spark, small):
     out = mixing.digest(odd)
-    rows = out.collect()
     assert rows_of(out) == rows_of(mixing.digest(odd.repartition(5)))
-    joined = mixing.mix(odd.select("doc_id", "source", "text"), few_sources=0)
-    assert rows_of(out) == rows_of(joined.select("doc_id", "size", "source_size", "target", "taken"))
-    assert len(rows) == len(odd_rows)
-    sizes = collections.Counter()
-    for r in odd_rows:
-        sizes[r[3]] += len(WORD.findall(r[1] or ""))
-    target = brute_targets(sizes)
-    by_source = {(r[0]): r[3] for r in odd_rows}
-    for r in rows:
-        assert r["target"] == pytest.approx(target[by_source[r["doc_id"]]])
-        assert r["taken"] in (0, r["size"], 2 * r["size"])
+    assert rows_of(out) == rows_of(mixing.mix(odd, few_sources=0).select("doc_id", "size", "source_size", "target", "taken"))
+    order = [0, 1, 2, 4]
+    want = sorted((str(tuple(r[k] for k in order)), r[3]) for r in brute_mix([(r[0], r[1], r[3]) for r in odd_rows]))
+    got = sorted((str(tuple(r[k] for k in order)), r[3]) for r in out.collect())
+    assert [g[0] for g in got] == [w[0] for w in want] and [g[1] for g in got] == [w[1] for w in want]
     docs = spark.read.parquet(f"{small}/documents.parquet")
-    got = docs.select("doc_id", "source").join(mixing.digest(docs), "doc_id").groupBy("source").agg(F.sum("taken").alias("t"), F.first("target").alias("target"), F.max("size").alias("most")).collect()
+    got = docs.select("doc_id", "source").join(mixing.digest(docs), "doc_id").groupBy("source").agg(F.sum("taken").alias("t"), F.first("target").alias("target")).collect()
     for r in got:
-        assert abs(r["t"] - r["target"]) <= max(0.05 * r["target"], 50), r
+        assert abs(r["t"] - r["target"]) <= 1, r
+
+
+def test_mix_in_order(odd, odd_rows):
+    mixed = mixing.mix(odd)
+    words = {r["text"]: r["taken"] for r in mixed.collect() if r["taken"]}
+    rows = mixing.materialise(odd).collect()
+    assert rows[0].asDict().keys() == set(odd.columns)
+    for text, n in collections.Counter(r["text"] for r in rows if r["text"] in words).items():
+        same = sum(r[1] == text for r in odd_rows)
+        assert n <= 2 * same
+    finish = {(r["doc_id"], r["text"]): r["finish"] for r in mixed.collect()}
+    got = [finish[r["doc_id"], r["text"]] for r in rows]
+    some = [f for f in got if f is not None]
+    assert some == sorted(some) and all(0 < f <= 1 for f in some) and got[: len(some)] == some
 
 
 def brute_targets(sizes):
