@@ -1,8 +1,10 @@
 """Mixing sources to target weights by weighted fair queueing.
 
 Each source queues its shuffled documents, then the same queue once more. A copy's virtual finish time is
-the source's cumulative tokens up to its end divided by the source's target. All copies are put in order
-of that time and taken until the total budget is used.
+the source's cumulative tokens up to its end divided by the source's target. The mix is all copies in global
+order of that time, truncated at the total budget. The budget is the sum of the targets, so it is used up
+just when every source has been served its target, at time 1: truncation is a comparison with 1, and only
+the mix itself, not its counts, has to be sorted.
 """
 
 from __future__ import annotations
@@ -12,7 +14,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, cut
+from .common import WORD, cut, row_keys
 
 WEIGHTS = (5, 2, 1)
 
@@ -50,75 +52,67 @@ def shuffled_key(salt: str) -> Column:
     return F.md5(F.concat(F.lit(salt), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
 
 
-def mix(docs: DataFrame, *, weights=WEIGHTS, share=1.5, most=2, salt: str = "mix-", coarse: int = 64, few_sources: int = 50_000) -> DataFrame:
-    """All columns of ``docs`` (those named like a result are replaced), ``size``, ``source_size``, ``target``, ``taken``.
+KEYS = ("_row0", "_row1")
 
-    Sizes are words; null or empty text has none and takes none. Only whole copies are taken, each document
-    ``most`` times at most. The shuffle is an md5 order, ties by doc_id and then by the text's hash, so
-    reruns agree; repeated rows are queued one after another. A null source is a source. Documents over
-    1/``coarse`` of their source's target are queued before the others, those of the largest power of two
-    first, so that where the queue is cut, a small one is at stake. No partition holds a source: running sums are by source and a prefix of the md5,
-    offsets of the prefixes come from a table of their sums.
+
+def sizes_of(docs: DataFrame) -> DataFrame:
+    """(_row0, _row1, doc_id, source, size, times) for each different row; the text is read here and nowhere else."""
+    size = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORD)).cast("long").alias("size")
+    each = docs.select(*[c.alias(k) for k, c in row_keys("doc_id", "source", "text").items()], "doc_id", "source", size)
+    return cut(each.groupBy(*KEYS, "doc_id", "source", "size").agg(F.count("*").alias("times")))
+
+
+def schedule(sized: DataFrame, *, weights=WEIGHTS, share=1.5, most=2, salt: str = "mix-", few_sources: int = 50_000) -> DataFrame:
+    """The rows of ``sizes_of`` with ``source_size``, ``target``, ``taken`` and ``finish`` (of the last copy taken, null: none).
+
+    A copy that ends by its source's target is taken whole, the one that is being served then up to there: one
+    document a source is cut. No partition holds a source: running sums are by source and a prefix of the
+    shuffled key, offsets of the prefixes come from a table of their sums.
     """
-    docs = docs.drop("size", "source_size", "target", "taken")
-    sized = docs.withColumn("size", F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORD)).cast("long"))
-    sized = sized.withColumn("_text", F.xxhash64("text"))  # a tie is broken without the text itself
-    per = cut(targets(sized.select("source", "size"), weights=weights, share=share, most=most))
-    n = sized.count()
-    digits = max(1, min(8, math.ceil(math.log(max(n, 1) / 2_000 + 1, 16))))
+    per = cut(targets(sized.select("source", (F.col("size") * F.col("times")).alias("size")), weights=weights, share=share, most=most))
+    digits = max(1, min(8, math.ceil(math.log(max(sized.count(), 1) / 2_000 + 1, 16))))
     # few sources, as counted, travel to the documents; many are joined, and a hot one split by adaptive execution
     by_source = per.withColumnRenamed("source", "_source")
     by_source = F.broadcast(by_source) if per.count() <= few_sources else by_source
     queued = sized.join(by_source, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
-    over = F.when(F.col("size") * coarse > F.col("target"), F.ceil(F.log2(F.col("size") * coarse / F.when(F.col("target") > 0, F.col("target")))))
-    tier = -F.coalesce(over, F.lit(0)).cast("int")
-    queued = queued.withColumns({"_key": shuffled_key(salt), "_tier": tier})
-    queued = queued.withColumn("_part", F.substring("_key", 1, digits))
-    cell = ["rank", "_tier", "_part"]
-    within = Window.partitionBy(*cell).orderBy("_key", "doc_id", "_text").rowsBetween(Window.unboundedPreceding, 0)
-    cells = queued.groupBy(*cell).agg(F.sum("size").alias("cell_size"))
-    before = Window.partitionBy("rank").orderBy("_tier", "_part").rowsBetween(Window.unboundedPreceding, -1)
-    cells = cut(cells.withColumn("_offset", F.coalesce(F.sum("cell_size").over(before), F.lit(0))).drop("cell_size"))
-    run = queued.withColumn("_in", F.sum("size").over(within)).join(cells, cell).withColumn("_end", F.col("_in") + F.col("_offset"))
-
-    def finish(copy: int) -> Column:
-        return (F.col("_end") + F.lit(copy) * F.col("source_size")) / F.when(F.col("target") > 0, F.col("target"))
-
-    # range of finish times -> tokens in it; the range in which the budget ends is then looked at in full
-    slices = max(1024, math.isqrt(2 * n))  # as many ranges as rows in one, about
-    copies = run.select("rank", "_key", "doc_id", "size", F.posexplode(F.array(*[finish(c) for c in range(most)])).alias("copy", "f"))
-    copies = copies.where("size > 0").withColumn("slice", F.least(F.floor(F.col("f") * slices), F.lit(2 * slices)))
-    sums = copies.groupBy("slice").agg(F.sum("size").alias("tokens"))
-    up = Window.orderBy("slice").rowsBetween(Window.unboundedPreceding, 0)
-    budget = per.agg(F.sum("target")).first()[0] or 0.0
-    edge = sums.withColumn("upto", F.sum("tokens").over(up)).where(F.col("upto") > budget).orderBy("slice").first()
-    taken: Column = F.lit(most)
-    if edge is not None:
-        room = budget - (edge["upto"] - edge["tokens"])
-        order = Window.orderBy("f", "rank", "_key", "doc_id", "copy").rowsBetween(Window.unboundedPreceding, 0)
-        last = copies.where(F.col("slice") == edge["slice"]).withColumn("upto", F.sum("size").over(order))
-        last = last.where(F.col("upto") - F.col("size") / 2 <= room).orderBy(*[F.col(c).desc() for c in ("f", "rank", "_key", "doc_id", "copy")]).first()
-        low = edge["slice"] / slices
-
-        def within_budget(copy: int) -> Column:
-            f = finish(copy)
-            if last is None:
-                return f < low
-            here = F.struct(F.lit(last["f"]), F.lit(last["rank"]), F.lit(last["_key"]))
-            return F.struct(f, F.col("rank"), F.col("_key")) <= here
-
-        taken = sum((F.coalesce(within_budget(c), F.lit(False)).cast("long") for c in range(most)), F.lit(0).cast("long"))
-    out = run.withColumn("taken", F.when(F.col("size") > 0, F.col("size") * taken).otherwise(F.lit(0)).cast("long"))
-    return out.select(*docs.columns, "size", "source_size", "target", "taken")
+    queued = queued.withColumns({"_key": shuffled_key(salt), "_all": F.col("size") * F.col("times")}).withColumn("_part", F.substring("_key", 1, digits))
+    within = Window.partitionBy("rank", "_part").orderBy("_key", "doc_id", *KEYS).rowsBetween(Window.unboundedPreceding, 0)
+    before = Window.partitionBy("rank").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    cells = queued.groupBy("rank", "_part").agg(F.sum("_all").alias("_cell"))
+    cells = cells.select("rank", "_part", F.coalesce(F.sum("_cell").over(before), F.lit(0)).alias("_offset"))
+    run = queued.withColumn("_in", F.sum("_all").over(within)).join(cells, ["rank", "_part"])
+    start = F.col("_in") + F.col("_offset") - F.col("_all")
+    limit = F.floor("target")
+    served = [F.greatest(F.least(limit - start - F.lit(copy) * F.col("source_size"), F.col("_all")), F.lit(0)) for copy in range(most)]
+    end = F.coalesce(*[F.when(got > 0, start + F.lit(copy) * F.col("source_size") + got) for copy, got in reversed(list(enumerate(served)))])
+    taken = F.expr("cast(_served div times as long)")  # equal rows share what they are served
+    out = run.withColumns({"_served": sum(served[1:], served[0]), "finish": end / F.col("target")}).withColumn("taken", taken)
+    return out.select(*KEYS, "doc_id", "source", "size", "times", "source_size", "target", "taken", "finish")
+
+
+def mix(docs: DataFrame, **options) -> DataFrame:
+    """All columns of ``docs`` (those named like a result are replaced), ``size``, ``source_size``, ``target``, ``taken``, ``finish``.
+
+    Sizes are words; null or empty text has none and takes none. ``taken`` is how many words the mix takes of a
+    row, at most twice its size: whole copies but for one document a source, which the end of the budget
+    cuts. The shuffle is an md5 order, ties by doc_id and then by a hash of the row, so reruns agree; rows
+    of equal doc_id, source and text are queued together and share alike. A null source is a source. An
+    empty table gives an empty table. Rows and their schedule meet in a join by a hash of the row.
+    """
+    docs = docs.drop("size", "source_size", "target", "taken", "finish").withColumns(row_keys("doc_id", "source", "text"))
+    planned = schedule(sizes_of(docs), **options).select(*KEYS, "size", "source_size", "target", "taken", "finish")
+    return docs.join(planned, list(KEYS)).drop(*KEYS)
 
 
 def digest(docs: DataFrame) -> DataFrame:
-    """The contract's columns."""
-    return mix(docs.select("doc_id", "source", "text")).select("doc_id", "size", "source_size", "target", "taken")
+    """The contract's columns; the text travels nowhere."""
+    out = schedule(sizes_of(docs)).withColumn("_time", F.explode(F.sequence(F.lit(1), F.col("times").cast("int"))))
+    return out.select("doc_id", "size", "source_size", "target", "taken")
 
 
 def materialise(docs: DataFrame) -> DataFrame:
-    """The mix as rows: each document as often as it is taken, a document without words once."""
-    times = F.when(F.col("size") > 0, F.expr("cast(taken div size as int)")).otherwise(F.lit(1))
+    """The mix as rows, in global order of finish times: each document as often as it is taken, a document
+    without words once. A copy that the end of the budget cuts stays whole if half of it is taken, or else goes."""
+    times = F.when(F.col("size") > 0, F.floor(F.col("taken") / F.col("size") + 0.5).cast("int")).otherwise(F.lit(1))
     rows = mix(docs).withColumn("_copy", F.explode(F.array_repeat(F.lit(0), times)))
-    return rows.select(*docs.columns)
+    return rows.orderBy(F.col("finish").asc_nulls_last(), F.xxhash64("doc_id")).select(*docs.columns)

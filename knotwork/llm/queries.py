@@ -43,13 +43,11 @@ l as (select *, (1.5::double * sum(source_size) over () - coalesce(sum(lim) over
       from w window up as (order by lim / w, rank rows between unbounded preceding and 1 preceding)),
 c as (select arg_min(level, (lim / w, rank)) as level from l where level * w <= lim),
 t as (select source, rank, source_size, least(lim::double, coalesce(c.level * w, lim)) as target from l left join c on true),
-q as (select d.*, rank, source_size, target, case when size * 64 > target then greatest(0, ceil(log2(size * 64 / nullif(target, 0)))) else 0 end as tier
-      from d join t on d.source is not distinct from t.source),
-e as (select *, sum(size) over (partition by rank order by -coalesce(tier, 0), key, doc_id rows unbounded preceding)::bigint as upto from q),
-f as (select doc_id, rank, key, size, copy, (upto + copy * source_size) / nullif(target, 0) as f from e cross join (values (0), (1)) v(copy) where size > 0),
-g as (select *, sum(size) over (order by f, rank, key, doc_id, copy rows unbounded preceding) as used from f where f is not null),
-k as (select doc_id, count(*) filter (where used - size / 2 <= (select sum(target) from t)) as n from g group by doc_id)
-select q.doc_id, size::bigint as size, source_size, target, (size * coalesce(n, 0))::bigint as taken from q left join k on k.doc_id = q.doc_id
+e as (select d.*, rank, source_size, target, sum(size) over (partition by rank order by key, doc_id rows unbounded preceding)::bigint - size as start
+      from d join t on d.source is not distinct from t.source)
+select doc_id, size::bigint as size, source_size, target,
+       (greatest(0, least(size, floor(target)::bigint - start)) + greatest(0, least(size, floor(target)::bigint - start - source_size)))::bigint as taken
+from e
 """
 
 ORACLE_SQL: dict[str, str] = {

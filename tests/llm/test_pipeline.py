@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from knotwork.llm import mixing, ngram_quality, simhash
 from tests.llm.test_models import Brute
-from tests.llm.test_text_ops import SPACE, WORD, brute_simhash, brute_targets, fold, rows_of
+from tests.llm.test_text_ops import SPACE, brute_mix, brute_simhash, fold, rows_of
 
 
 def quality(rows, good, held, *, quantile=0.995, margin=0.05, prior=40, least=50):
@@ -52,36 +52,9 @@ def near(rows):
     return [r for r in rows if first[r["doc_id"]] == r["doc_id"]]
 
 
-def mixture(rows, coarse=64):
-    sizes = {r["doc_id"]: len(WORD.findall(r["text"])) for r in rows}
-    total = collections.Counter()
-    for r in rows:
-        total[r["source"]] += sizes[r["doc_id"]]
-    target = brute_targets(total)
-    rank = {s: i for i, s in enumerate(sorted(target))}
-    copies = []
-    for s in target:
-        queue = sorted((r for r in rows if r["source"] == s), key=lambda r: (-tier(sizes[r["doc_id"]] * coarse, target[s]), key(r), r["doc_id"]))
-        end = 0
-        for copy in (0, 1):
-            for r in queue:
-                end += sizes[r["doc_id"]]
-                copies.append((end / target[s] if target[s] else math.inf, rank[s], key(r), r["doc_id"], copy, sizes[r["doc_id"]]))
-    used, budget, times = 0, sum(target.values()), collections.Counter()
-    for c in sorted(c for c in copies if c[5]):
-        used += c[5]
-        if used - c[5] / 2 > budget:
-            break
-        times[c[3]] += 1
-    return [r for r in rows for _ in range(times[r["doc_id"]] if sizes[r["doc_id"]] else 1)]
-
-
-def tier(x, target):
-    return math.ceil(math.log2(x / target)) if target and x > target else 0
-
-
-def key(r):
-    return hashlib.md5(f"mix-{r['doc_id']}".encode()).hexdigest()
+def mixture(rows):
+    taken = brute_mix([(r["doc_id"], r["text"], r["source"]) for r in rows])
+    return [r for r, (_, size, _, _, n) in zip(rows, taken, strict=True) for _ in range(math.floor(n / size + 0.5) if size else 1)]
 
 
 def test_pipeline(spark, tiny):
