@@ -107,6 +107,11 @@ def _map(d: dict[str, str]) -> Column:
     return F.from_json(F.lit(json.dumps(d)), "map<string,string>")
 
 
+def look_up(d: dict[str, str], t: Column) -> Column:
+    """``d[t]``, null if there is none. A literal map is searched entry by entry, so a hash set comes before it."""
+    return F.when(t.isin(*d), F.element_at(_map(d), t))
+
+
 def _two(d) -> dict[str, str]:
     """Two-word keys; a value of two words is held together by an underscore, which clean text never has."""
     return {k: (d[k] if isinstance(d, dict) else k).replace(" ", "_") for k in d if k.count(" ") == 1}
@@ -122,17 +127,17 @@ def normalize_address(address: Column | str, country: Column | str | None = None
     raw = text_of(address)
     land = F.upper(F.trim(text_of(F.lit("") if country is None else country)))
     in_us, in_india, in_france = (land.isin(x, "") for x in ("US", "INDIA", "FRANCE"))
-    us, india, france = (_map(_two(d)) for d in (T.US_STATES, T.INDIA_STATES, T.FRANCE_REGIONS))
-    us1, india1 = _map({k: v for k, v in T.US_STATES.items() if " " not in k}), _map({k: v for k, v in T.INDIA_STATES.items() if " " not in k})
-    expansions = _map(T.ADDRESS_EXPANSIONS)
+    us, india, france = (_two(d) for d in (T.US_STATES, T.INDIA_STATES, T.FRANCE_REGIONS))
+    us1, india1 = ({k: v for k, v in d.items() if " " not in k} for d in (T.US_STATES, T.INDIA_STATES))
+    seconds = sorted({k.split(" ")[1] for d in (us, india, france) for k in d})
 
-    def state(t: Column, of_us: Column, of_india: Column, of_france: Column | None = None) -> Column:
-        found = [F.when(in_us, F.element_at(of_us, t)), F.when(in_india, F.element_at(of_india, t))]
-        return F.coalesce(*found, *([] if of_france is None else [F.when(in_france, F.element_at(of_france, t))]))
+    def state(t: Column, of_us: dict, of_india: dict, of_france: dict | None = None) -> Column:
+        found = [F.when(in_us, look_up(of_us, t)), F.when(in_india, look_up(of_india, t))]
+        return F.coalesce(*found, *([] if of_france is None else [F.when(in_france, look_up(of_france, t))]))
 
     def one(t: Column) -> Column:
         plain = F.when(t.rlike("^[0-9]+$"), F.regexp_replace(t, "^0+(?=[0-9])", "")).otherwise(t)
-        full = let(plain, lambda x: F.coalesce(F.element_at(expansions, x), x))
+        full = let(plain, lambda x: F.coalesce(look_up(T.ADDRESS_EXPANSIONS, x), x))
         return let(full, lambda x: F.coalesce(state(x, us1, india1), x))
 
     def of_pairs(ps: Column) -> Column:
@@ -144,7 +149,7 @@ def normalize_address(address: Column | str, country: Column | str | None = None
 
     def of_tokens(ts: Column) -> Column:
         following = F.slice(ts, 2, F.greatest(F.size(ts), F.lit(1)))
-        two = lambda t, n: let(F.concat_ws(" ", t, n), lambda x: state(x, us, india, france))
+        two = lambda t, n: F.when(n.isin(*seconds), let(F.concat_ws(" ", t, n), lambda x: state(x, us, india, france)))
         return let(F.zip_with(ts, following, lambda t, n: F.struct(t.alias("t"), two(t, n).alias("two"))), of_pairs)
 
     return let(tokens(clean_text(raw)), of_tokens)

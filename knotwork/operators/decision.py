@@ -75,21 +75,33 @@ def decide(scored: DataFrame, gate: DataFrame, policy: Policy = Policy()) -> Dat
 def policy_scores(scored: DataFrame, gate: DataFrame, truth: DataFrame, spine: DataFrame, grid: list[Policy] | None = None) -> DataFrame:
     """(combo, f05) of every policy of the grid, in one pass over the scored pairs.
 
-    The grid is a literal; a pair is expanded to the policies that accept it and summed by entity at once.
+    Gate and first threshold only decide whether an entity has matches at all. So a pair is expanded to the
+    other three parameters alone, an entity is summed under how many gates and first thresholds it passes,
+    and policies add up those sums, of which there are as many as the grid has combinations.
     """
     grid = grid or policy_grid()
-    all_ = F.array(*[F.struct(F.lit(i).alias("combo"), *[F.lit(v).alias(k) for k, v in asdict(p).items()]) for i, p in enumerate(grid)])
+    rules = sorted({(p.t_second, p.delta_margin, p.max_matches) for p in grid})
+    gates, firsts = sorted({p.tau_gate for p in grid}), sorted({p.t_first for p in grid})
+    every = F.array(*[F.struct(F.lit(i).alias("rule"), F.lit(t).alias("t"), F.lit(d).alias("d"), F.lit(m).alias("m")) for i, (t, d, m) in enumerate(rules)])
+    passed = lambda values, c: F.size(F.filter(F.array(*[F.lit(v) for v in values]), lambda v: F.col(c) >= v))
     r = ranked(scored).join(gate, "s1_id").withColumn("top", F.max("probability").over(Window.partitionBy("s1_id")))
+    r = r.where((F.col("p_match") >= gates[0]) & (F.col("top") >= firsts[0])).withColumns({"gate": passed(gates, "p_match"), "first": passed(firsts, "top")})
     known = truth.select("s1_id", "candidate_id").distinct().withColumn("hit", F.lit(1))
     r = r.join(known, ["s1_id", "candidate_id"], "left")
 
     def accepts(p: Column) -> Column:
-        near = (F.col("probability") >= p["t_second"]) & (F.col("top") - F.col("probability") <= p["delta_margin"])
-        return (F.col("p_match") >= p["tau_gate"]) & (F.col("top") >= p["t_first"]) & ((F.col("rank") == 1) | near) & (F.col("rank") <= p["max_matches"])
-
-    each = r.select("s1_id", "hit", F.explode(F.filter(all_, accepts)["combo"]).alias("combo"))
-    counts = each.groupBy("s1_id", "combo").agg(F.count("*").alias("pred"), F.count("hit").alias("tp"))
-    return metrics.f05_over(counts, truth, spine, F.array(*[F.lit(i) for i in range(len(grid))]), "combo")
+        near = (F.col("probability") >= p["t"]) & (F.col("top") - F.col("probability") <= p["d"])
+        return ((F.col("rank") == 1) | near) & (F.col("rank") <= p["m"])
+
+    each = r.select("s1_id", "gate", "first", "hit", F.explode(F.filter(every, accepts)["rule"]).alias("rule"))
+    counts = each.groupBy("s1_id", "rule", "gate", "first").agg(F.count("*").alias("pred"), F.count("hit").alias("tp"))
+    policies = [(i, rules.index((p.t_second, p.delta_margin, p.max_matches)), gates.index(p.tau_gate) + 1, firsts.index(p.t_first) + 1) for i, p in enumerate(grid)]
+    policies = F.array(*[F.struct(*[F.lit(x).alias(n) for x, n in zip(p, ("combo", "rule", "gate", "first"), strict=True)]) for p in policies])
+    known, total = metrics.truth_sizes(truth, spine)
+    sums = counts.join(known, "s1_id").withColumn("gain", metrics.gain()).groupBy("rule", "gate", "first").agg(F.sum("gain").alias("gain"))
+    mine = lambda p: (p["rule"] == F.col("rule")) & (p["gate"] <= F.col("gate")) & (p["first"] <= F.col("first"))
+    gains = sums.select("gain", F.explode(F.filter(policies, mine)["combo"]).alias("combo")).groupBy("combo").agg(F.sum("gain").alias("gain"))
+    return metrics.f05_from(gains, total, F.array(*[F.lit(i) for i in range(len(grid))]), "combo")
 
 
 class DecisionLayer:

@@ -38,20 +38,29 @@ def macro_f05(predicted: DataFrame, truth: DataFrame, spine: DataFrame) -> DataF
     )
 
 
-def f05_over(counts: DataFrame, truth: DataFrame, spine: DataFrame, values: Column, name: str) -> DataFrame:
-    """(name, f05): macro F0.5 at each of ``values`` from (s1_id, name, pred, tp), where an entity without row has no prediction.
-
-    An entity that predicts nothing scores 1 if it has no truth, else 0. So the sum over all of them starts
-    from the number of entities without truth, and each row corrects it for its entity.
-    """
-    entities = spine.select("s1_id").distinct()
+def truth_sizes(truth: DataFrame, spine: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(s1_id, true) for each entity, and one row of how many entities there are and how many without truth."""
     true = truth.select(*PAIR).distinct().groupBy("s1_id").agg(F.count("*").alias("true"))
-    known = entities.join(true, "s1_id", "left").select("s1_id", F.coalesce("true", F.lit(0)).alias("true"))
-    total = known.agg(F.count("*").alias("n"), F.count_if(F.col("true") == 0).alias("single"))
-    rows = counts.join(known, "s1_id").withColumn("gain", f05(F.col("pred"), F.col("true"), F.col("tp")) - F.when(F.col("true") == 0, 1.0).otherwise(0.0))
-    sums = rows.groupBy(name).agg(F.sum("gain").alias("gain"))
+    known = spine.select("s1_id").distinct().join(true, "s1_id", "left").select("s1_id", F.coalesce("true", F.lit(0)).alias("true"))
+    return known, known.agg(F.count("*").alias("n"), F.count_if(F.col("true") == 0).alias("single"))
+
+
+def gain() -> Column:
+    """F0.5 of columns pred, true, tp above that of predicting nothing, which is 1 without truth, else 0."""
+    return f05(F.col("pred"), F.col("true"), F.col("tp")) - F.when(F.col("true") == 0, 1.0).otherwise(0.0)
+
+
+def f05_from(gains: DataFrame, total: DataFrame, values: Column, name: str) -> DataFrame:
+    """(name, f05) for each of ``values``: the sum over all entities starts from those without truth; ``gains`` correct it."""
     grid = total.select("n", "single", F.explode(values).alias(name))  # one row, times the grid
-    return grid.join(sums, name, "left").select(name, F.when(F.col("n") == 0, 0.0).otherwise((F.col("single") + F.coalesce("gain", F.lit(0.0))) / F.col("n")).alias("f05"))
+    return grid.join(gains, name, "left").select(name, F.when(F.col("n") == 0, 0.0).otherwise((F.col("single") + F.coalesce("gain", F.lit(0.0))) / F.col("n")).alias("f05"))
+
+
+def f05_over(counts: DataFrame, truth: DataFrame, spine: DataFrame, values: Column, name: str) -> DataFrame:
+    """(name, f05): macro F0.5 at each of ``values`` from (s1_id, name, pred, tp), where an entity without row has no prediction."""
+    known, total = truth_sizes(truth, spine)
+    gains = counts.join(known, "s1_id").groupBy(name).agg(F.sum(gain()).alias("gain"))
+    return f05_from(gains, total, values, name)
 
 
 def micro_precision_recall(predicted: DataFrame, truth: DataFrame, spine: DataFrame) -> DataFrame:

@@ -55,8 +55,10 @@ def fit_weights(docs: DataFrame, low: int = 3, high: int = 4) -> DataFrame:
 def nearest(left: DataFrame, right: DataFrame, *, k: int = 30, least: float = 0.12, ngram_range: tuple[int, int] = (3, 4), max_df: int | None = None) -> DataFrame:
     """(s1_id, candidate_id, similarity): for each left row its ``k`` nearest right rows of the same part.
 
-    Both sides are (entity_id, part, text); idf is over both. The join is on n-grams within a part; ``max_df``
-    leaves grams in more rows than that out of the join, for tables where they would dominate it.
+    Both sides are (entity_id, part, text); idf is over both. Pairs are found by a join on n-grams within a part,
+    without those of a left row's commonest n-grams that together weigh too little to reach ``least``: no pair
+    is lost by that, and the commonest n-grams are joined least. ``max_df``
+    leaves grams in more rows than that out altogether, for tables where they would still dominate.
     Similarities are rounded to 6 places before ranking, ties by id.
     """
     low, high = ngram_range
@@ -69,7 +71,12 @@ def nearest(left: DataFrame, right: DataFrame, *, k: int = 30, least: float = 0.
     w = w.join(sides, "entity_id")
     a = w.where("side = 1").select(F.col("entity_id").alias("s1_id"), "part", "gram", F.col("w").alias("wa"))
     b = w.where("side = 2").select(F.col("entity_id").alias("candidate_id"), "part", "gram", F.col("w").alias("wb"))
-    sims = a.join(b, ["part", "gram"]).groupBy("s1_id", "candidate_id").agg(F.round(F.sum(F.col("wa") * F.col("wb")), 6).alias("similarity"))
+    # what a row's common n-grams add up to is less than the norm of their weights
+    df = w.groupBy("part", "gram").agg(F.count("*").alias("df"))
+    common_first = Window.partitionBy("s1_id").orderBy(F.col("df").desc(), "gram").rowsBetween(Window.unboundedPreceding, 0)
+    rare = a.join(df, ["part", "gram"]).withColumn("_mass", F.sum(F.col("wa") * F.col("wa")).over(common_first)).where(F.col("_mass") >= (least * 0.999999) ** 2 if least > 0 else F.lit(True))
+    pairs = rare.select("s1_id", "part", "gram").join(b.select("candidate_id", "part", "gram"), ["part", "gram"]).select("s1_id", "candidate_id").distinct()
+    sims = pairs.join(a, "s1_id").join(b, ["candidate_id", "part", "gram"]).groupBy("s1_id", "candidate_id").agg(F.round(F.sum(F.col("wa") * F.col("wb")), 6).alias("similarity"))
     order = Window.partitionBy("s1_id").orderBy(F.col("similarity").desc(), "candidate_id")
     return sims.where(F.col("similarity") >= least).withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= k).drop("_rank")
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..sources import io
@@ -12,9 +12,15 @@ HEADERS = {"matching": ("source1_entity_id", "matched_entity_ids"), "candidate":
 EXAMPLES = 5
 
 
-def examples(c: Column | str) -> Column:
-    """A few distinct values in order."""
-    return F.slice(F.array_sort(F.collect_set(c)), 1, EXAMPLES)
+def counted(broken: DataFrame) -> DataFrame:
+    """(rule, n, examples) of ``broken`` (rule, x): how often each rule is broken and its first few distinct x.
+
+    No task gathers more than the examples of a rule, however many rows break it.
+    """
+    order = Window.partitionBy("rule").orderBy("x")
+    first = broken.distinct().withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= EXAMPLES)
+    first = first.groupBy("rule").agg(F.array_sort(F.collect_list("x")).alias("examples"))
+    return broken.groupBy("rule").agg(F.count("*").alias("n")).join(first, "rule")
 
 
 def split_lists(lines: DataFrame) -> DataFrame:
@@ -42,10 +48,10 @@ def rule_counts(lists: DataFrame, required: DataFrame, targets: DataFrame | None
     """(rule, n, examples) for the rules over (s1_id, ids); ``required`` (s1_id), ``targets`` (entity_id)."""
     flagged = row_rules(lists)
     rules = F.array(*[F.when(F.col(f), F.lit(f)) for f in ("repeated_id", "self_match", "wrong_prefix", "is_empty")])
-    out = flagged.select(F.explode(F.array_compact(rules)).alias("rule"), "s1_id").groupBy("rule").agg(F.count("*").alias("n"), examples("s1_id").alias("examples"))
+    out = flagged.select(F.explode(F.array_compact(rules)).alias("rule"), F.col("s1_id").alias("x"))
 
     def rule(df: DataFrame, name: str, column: str) -> DataFrame:
-        return df.agg(F.count("*").alias("n"), examples(column).alias("examples")).where("n > 0").select(F.lit(name).alias("rule"), "n", "examples")
+        return df.select(F.lit(name).alias("rule"), F.col(column).alias("x"))
 
     ids = lists.select("s1_id")
     out = out.unionByName(rule(ids.groupBy("s1_id").count().where("count > 1"), "duplicate_s1", "s1_id"))
@@ -54,7 +60,7 @@ def rule_counts(lists: DataFrame, required: DataFrame, targets: DataFrame | None
     if targets is not None:
         named = lists.select(F.explode("ids").alias("entity_id")).where("entity_id like 'S2-%' or entity_id like 'S3-%'")
         out = out.unionByName(rule(named.join(targets, "entity_id", "left_anti").distinct(), "unknown_id", "entity_id"))
-    return out
+    return counted(out)
 
 
 def not_in_candidates(matches: DataFrame, candidates: DataFrame) -> DataFrame:
@@ -84,7 +90,12 @@ def validate_file(spark: SparkSession, path: str, kind: str, required: DataFrame
     if wrong:
         return [f"{path}: {wrong}"], None
     rows = split_lists(lines.where("line > 1 and trim(value) <> ''"))
-    errors = [f"{path}: line {r['line']} has no tab" for r in rows.where("not has_tab").orderBy("line").limit(EXAMPLES).collect()]
+    bad = rows.where("not has_tab")
+    if n := bad.count():
+        first = ", ".join(str(r["line"]) for r in bad.orderBy("line").limit(EXAMPLES).collect())
+        errors = [f"{path}: {n} line{'s' * (n > 1)} without a tab, first {first}"]
+    else:
+        errors = []
     lists = rows.where("has_tab").select("s1_id", "ids")
     for r in rule_counts(lists, required, targets).where("rule <> 'is_empty'").orderBy("rule").collect():
         errors.append(f"{path}: {r['rule']}: {r['n']}, such as {', '.join(r['examples'])}")

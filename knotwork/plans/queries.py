@@ -78,6 +78,23 @@ def extract_numbers(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", F.array_join(X.extract_numbers("html"), ",").alias("numbers"))
 
 
+# name of a state in its script, its code, and its letters in Latin, worked out by hand
+_SCRIPTS = [
+    ("महाराष्ट्र", "mh", "mahaaraashtra"), ("ગુજરાત", "gj", "gujaraata"), ("दिल्ली", "dl", "dillii"), ("ಕರ್ನಾಟಕ", "ka", "karnaataka"), ("தமிழ்நாடு", "tn", "tamilnaatu"),
+    ("पश्चिम बंगाल", "wb", "pashchima bangaala"), ("उत्तर प्रदेश", "up", "uttara pradesha"), ("राजस्थान", "rj", "raajasthaana"), ("पंजाब", "pb", "panjaaba"),
+]
+
+
+@query(f"""with s(k, code, latin) as (values {", ".join(f"({i}, '{c}', '{x}')" for i, (_, c, x) in enumerate(_SCRIPTS))})
+select n_nationkey, latin || ' ' || trim(regexp_replace(lower(n_name), '[^a-z0-9]+', ' ', 'g')) as name,
+       code || ' ' || trim(regexp_replace(lower(n_name), '[^a-z0-9]+', ' ', 'g')) || ' ' || latin as address
+from nation join s on k = n_nationkey % {len(_SCRIPTS)}""")
+def native_scripts(spark, sf_dir):
+    script = F.element_at(F.array(*[F.lit(s) for s, _, _ in _SCRIPTS]), (F.col("n_nationkey") % len(_SCRIPTS) + 1).cast("int"))
+    n = table(spark, sf_dir, "nation").select("n_nationkey", F.concat_ws(" ", script, "n_name").alias("name"), F.concat_ws(", ", "n_name", script).alias("address"))
+    return n.select("n_nationkey", X.normalize_name("name").alias("name"), X.normalize_address("address", F.lit("India")).alias("address"))
+
+
 # RE2 knows no boundary beside letters other than ASCII
 _UNIT = T.UNIT_PATTERN.replace(r"\b(?:", r"(?:(?:^|[^\p{L}\p{N}_])(?:").replace("|#)", r")|[\p{L}\p{N}_]#)")
 
@@ -159,10 +176,26 @@ def jaro_winkler_pairs(spark, sf_dir):
     return part_pairs(spark, sf_dir).select("a_key", "b_key", F.round(S.jaro_winkler_similarity(F.col("a"), F.col("b")), 6).alias("similarity"))
 
 
-@query()
+_WORDS = "list_filter(string_split({}, ' '), lambda w: w <> '')"
+_ROW = "list_concat([0], list_transform(range(1, len(t) + 1), lambda j: greatest(row[j + 1], case when substr(s, i, 1) = substr(t, j, 1) then row[j] + 1 else 0 end)))"
+
+
+@query(f"""with recursive {_PARTS},
+k as (select *, list_sort(list_distinct({_WORDS.format('a')})) as x, list_sort(list_distinct({_WORDS.format('b')})) as y from pp),
+e as (select *, array_to_string(list_filter(x, lambda w: list_contains(y, w)), ' ') as c, array_to_string(list_filter(x, lambda w: not list_contains(y, w)), ' ') as ox,
+      array_to_string(list_filter(y, lambda w: not list_contains(x, w)), ' ') as oy from k),
+f as (select a_key, b_key, a, b, array_to_string(list_sort({_WORDS.format('a')}), ' ') as sa, array_to_string(list_sort({_WORDS.format('b')}), ' ') as sb, c, ox, oy, trim(c || ' ' || ox) as one, trim(c || ' ' || oy) as two from e),
+jobs as (select a as s, b as t from f union select sa, sb from f union select one, two from f),
+dp(s, t, i, row) as (select s, t, 1, list_transform(range(len(t) + 1), lambda j: 0) from jobs
+  union all select s, t, i + 1, list_transform(range(1, len(t) + 2), lambda j: list_max(cand[1:j])) from (select s, t, i, {_ROW} as cand from dp where i <= len(s))),
+r as (select s, t, 2.0::double * list_max(row) / (len(s) + len(t)) as r from dp where i = len(s) + 1)
+select a_key, b_key, round(p.r, 6) as ratio, round(q.r, 6) as sort_ratio,
+       round(case when c <> '' and (ox = '' or oy = '') then 1.0 else greatest(u.r, case when c <> '' then 2.0::double * len(c) / (len(c) + least(len(one), len(two))) else 0 end) end, 6) as set_ratio
+from f join r p on p.s = a and p.t = b join r q on q.s = sa and q.t = sb join r u on u.s = one and u.t = two""")
 def token_ratios(spark, sf_dir):
     a, b = F.col("a"), F.col("b")
-    return part_pairs(spark, sf_dir).select("a_key", "b_key", S.indel_ratio(a, b).alias("ratio"), S.token_sort_similarity(a, b).alias("sort_ratio"), S.token_set_similarity(a, b).alias("set_ratio"))
+    ratios = {"ratio": S.indel_ratio(a, b), "sort_ratio": S.token_sort_similarity(a, b), "set_ratio": S.token_set_similarity(a, b)}
+    return part_pairs(spark, sf_dir).select("a_key", "b_key", *[F.round(c, 6).alias(n) for n, c in ratios.items()])
 
 
 @query("""select s_suppkey, c_custkey, case when a = '' or b = '' then -1.0 when a = b then 1.0 else 0.0 end as match from (
@@ -515,11 +548,16 @@ def quarantine_anti(spark, sf_dir):
     return sampling.quarantine(table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("entity_id")), truth, held)
 
 
-@query(f"with {_SPLIT} select (select count(*) from (select s1_id from v where is_val intersect select s1_id from v where not is_val)) as s1_overlap, 0::bigint as s2_overlap, 0::bigint as s3_overlap")
+@query(f"""with {_SPLIT}, c as (select is_val, 'S' || (2 + candidate_id % 2) || '-' || (candidate_id % 999) as id from t join v using (s1_id)),
+o as (select id from c where is_val intersect select id from c where not is_val)
+select (select count(*) from (select s1_id from v where is_val intersect select s1_id from v where not is_val)) as s1_overlap,
+       (select count(*) from o where id like 'S2-%') as s2_overlap, (select count(*) from o where id like 'S3-%') as s3_overlap""")
 def leakage_audit(spark, sf_dir):
+    """The entity split with 999 targets of each source, which orders of both parts share."""
     truth, spine = _orders(spark, sf_dir)
     marked = sampling.entity_split(spine, truth)
-    truth = truth.withColumn("candidate_id", F.concat(F.lit("S2-"), F.col("candidate_id").cast("string")))
+    key = F.col("candidate_id")
+    truth = truth.withColumn("candidate_id", F.concat(F.lit("S"), (2 + key % 2).cast("string"), F.lit("-"), (key % 999).cast("string")))
     parts = [marked.where(c).select("s1_id") for c in ("not is_val", "is_val")]
     return sampling.leakage(*parts, *[truth.join(p, "s1_id", "left_semi") for p in parts])
 
@@ -557,16 +595,22 @@ def _lists(spark: SparkSession, sf_dir: str) -> DataFrame:
 _EX = "list_sort(list(distinct {}))[1:5]"
 
 
-@query(f"""with {_LISTS}, rq as (select 'S1-' || o_orderkey as s1_id from orders where o_orderstatus <> 'P'), tg as (select 'S2-' || s_suppkey as entity_id from supplier union select 'S3-' || s_suppkey from supplier),
+@query(f"""with {_LISTS.replace('li as', 'l0 as', 1)}, li as (select * from l0 union all select 'S1-' || o_orderkey, [] from orders where o_orderpriority = '1-URGENT'),
+rq as (select 'S1-' || o_orderkey as s1_id from orders where o_orderstatus <> 'P' union all select 'S1-C' || c_custkey from customer where c_acctbal < 0), tg as (select 'S2-' || s_suppkey as entity_id from supplier union select 'S3-' || s_suppkey from supplier),
 r as (select 'repeated_id' as rule, s1_id as x from li where len(ids) <> len(list_distinct(ids)) union all
 select 'self_match', s1_id from li where len(list_filter(ids, lambda y: y like 'S1-%')) > 0 union all select 'wrong_prefix', s1_id from li where len(list_filter(ids, lambda y: y like 'X-%')) > 0 union all
+select 'is_empty', s1_id from li where len(ids) = 0 union all select 'duplicate_s1', s1_id from li group by s1_id having count(*) > 1 union all
 select 'missing_s1', s1_id from rq where s1_id not in (select s1_id from li) union all select 'extra_s1', s1_id from li where s1_id not in (select s1_id from rq) union all
 select 'unknown_id', u from (select distinct unnest(ids) as u from li) where (u like 'S2-%' or u like 'S3-%') and u not in (select entity_id from tg))
 select rule, count(*) as n, array_to_string({_EX.format('x')}, ',') as examples from r group by rule""")
 def submission_rules(spark, sf_dir):
-    required = table(spark, sf_dir, "orders").where("o_orderstatus <> 'P'").select(F.concat(F.lit("S1-"), F.col("o_orderkey").cast("string")).alias("s1_id"))
+    """Lists of orders, those of urgent ones twice and once empty; customers in debt are required and have none."""
+    orders, debt = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer").where("c_acctbal < 0")
+    named = F.concat(F.lit("S1-"), F.col("o_orderkey").cast("string")).alias("s1_id")
+    required = orders.where("o_orderstatus <> 'P'").select(named).unionByName(debt.select(F.concat(F.lit("S1-C"), F.col("c_custkey").cast("string")).alias("s1_id")))
+    lists = _lists(spark, sf_dir).unionByName(orders.where("o_orderpriority = '1-URGENT'").select(named, F.array().cast("array<string>").alias("ids")))
     ids = table(spark, sf_dir, "supplier").select(F.explode(F.array(*[F.concat(F.lit(p), F.col("s_suppkey").cast("string")) for p in ("S2-", "S3-")])).alias("entity_id"))
-    return validate.rule_counts(_lists(spark, sf_dir), required, ids).withColumn("examples", F.array_join("examples", ","))
+    return validate.rule_counts(lists, required, ids).withColumn("examples", F.array_join("examples", ","))
 
 
 @query(f"""with {_LISTS}, ca as (select s1_id, list_filter(ids, lambda y: y not like 'S3-%') as c from li)

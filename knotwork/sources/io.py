@@ -104,6 +104,11 @@ def _csv(spark: SparkSession, path: str, schema: TY.StructType, quoted: bool = T
     return reader.schema(schema).csv(resolve(spark, path))
 
 
+def _strip(c: Column) -> Column:
+    """Without white space of any alphabet, line ends and separators at both ends."""
+    return F.regexp_replace(c, r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", "")
+
+
 def read_records(spark: SparkSession, path: str, *, limit: int | None = None, last_wins: bool = True) -> DataFrame:
     """Entity records: cells stripped, missing ones empty, the last row of a repeated id.
 
@@ -113,7 +118,7 @@ def read_records(spark: SparkSession, path: str, *, limit: int | None = None, la
     df = _csv(spark, path, RECORD)
     if last_wins:
         df = df.withColumns({"_file": F.input_file_name(), "_at": F.monotonically_increasing_id()})
-    df = df.select(*[F.trim(F.coalesce(c, F.lit(""))).alias(c) for c in RECORD.names], *(["_file", "_at"] if last_wins else []))
+    df = df.select(*[_strip(F.coalesce(c, F.lit(""))).alias(c) for c in RECORD.names], *(["_file", "_at"] if last_wins else []))
     df = df.where("entity_id <> ''")
     if last_wins:
         rest = [F.struct("_file", "_at", *RECORD.names[1:])]
@@ -125,7 +130,7 @@ def read_records_by_name(spark: SparkSession, path: str) -> DataFrame:
     """Records of a file whose header may name the columns otherwise (name, address) or order them otherwise."""
     df = spark.read.option("sep", "\t").option("header", True).option("quote", "").csv(resolve(spark, path))
     renamed = {ALIASES.get(c.strip().lower(), c.strip().lower()): c for c in df.columns}
-    return df.select(*[F.trim(F.coalesce(F.col(f"`{renamed[c]}`") if c in renamed else F.lit(""), F.lit(""))).alias(c) for c in RECORD.names])
+    return df.select(*[_strip(F.coalesce(F.col(f"`{renamed[c]}`") if c in renamed else F.lit(""), F.lit(""))).alias(c) for c in RECORD.names])
 
 
 def read_labels(spark: SparkSession, path: str, *, limit: int | None = None) -> DataFrame:
@@ -250,8 +255,14 @@ def manifest(spark: SparkSession, path: str) -> DataFrame:
 
 
 def file_sha256(spark: SparkSession, path: str) -> str | None:
-    row = spark.read.format("binaryFile").load(path).select(F.sha2("content", 256)).first()
-    return None if row is None else row[0]
+    """Read as a stream, so that no file is too large; None if it is missing."""
+    if not exists(spark, path):
+        return None
+    (fs, p), java = _fs(spark, path), spark._jvm.java
+    digest = java.security.MessageDigest.getInstance("SHA-256")
+    stream = java.security.DigestInputStream(fs.open(p), digest)
+    spark._jvm.org.apache.hadoop.io.IOUtils.copyBytes(stream, java.io.OutputStream.nullOutputStream(), 1 << 20, True)
+    return bytes(digest.digest()).hex()
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:
@@ -261,9 +272,10 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
     out = fs.create(temp, True)
     out.write(bytearray(text.encode()))
     out.close()
-    fs.delete(p, False)
-    if not fs.rename(temp, p):
-        raise OSError(f"could not write {path}")
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    options = spark.sparkContext._gateway.new_array(hadoop.Options.Rename, 1)
+    options[0] = hadoop.Options.Rename.OVERWRITE
+    hadoop.FileContext.getFileContext(fs.getUri(), fs.getConf()).rename(fs.makeQualified(temp), fs.makeQualified(p), options)
 
 
 def write_json(spark: SparkSession, path: str, data) -> None:
