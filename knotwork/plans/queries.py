@@ -600,7 +600,7 @@ rq as (select 'S1-' || o_orderkey as s1_id from orders where o_orderstatus <> 'P
 r as (select 'repeated_id' as rule, s1_id as x from li where len(ids) <> len(list_distinct(ids)) union all
 select 'self_match', s1_id from li where len(list_filter(ids, lambda y: y like 'S1-%')) > 0 union all select 'wrong_prefix', s1_id from li where len(list_filter(ids, lambda y: y like 'X-%')) > 0 union all
 select 'is_empty', s1_id from li where len(ids) = 0 union all select 'duplicate_s1', s1_id from li group by s1_id having count(*) > 1 union all
-select 'missing_s1', s1_id from rq where s1_id not in (select s1_id from li) union all select 'extra_s1', s1_id from li where s1_id not in (select s1_id from rq) union all
+select 'missing_s1', s1_id from rq where s1_id not in (select s1_id from li) union all select distinct 'extra_s1', s1_id from li where s1_id not in (select s1_id from rq) union all
 select 'unknown_id', u from (select distinct unnest(ids) as u from li) where (u like 'S2-%' or u like 'S3-%') and u not in (select entity_id from tg))
 select rule, count(*) as n, array_to_string({_EX.format('x')}, ',') as examples from r group by rule""")
 def submission_rules(spark, sf_dir):
