@@ -85,7 +85,7 @@ def link(calls: DataFrame, results: DataFrame, schemas: dict[str, dict[str, tupl
     placed = placed.join(counts, same[0] & same[1] & same[2], "left")
     within = Window.partitionBy(*part).orderBy("turn", "call_id")
     position = F.when(F.col("level").isNotNull(), F.col("_before") + F.row_number().over(within))
-    joined = placed.withColumn("position", position).join(results, "call_id", "left")
+    joined = placed.withColumn("position", position).join(results.hint("shuffle_hash"), "call_id", "left")
     wrong = problem(F.col("name"), F.col("arguments"), schemas)
     whole = F.struct(F.try_parse_json("arguments").alias("arguments"), F.col("call_id").alias("id"), F.col("name"), F.col("r.content").alias("result"))
     linked = joined.select("conv_id", "call_id", F.col("turn").cast("long").alias("turn"), "name", F.col("level").cast("long").alias("level"), F.col("position").cast("long").alias("position"), F.col("r").isNotNull().alias("linked"), wrong.isNull().alias("valid"), wrong.alias("problem"), F.to_json(whole, {"ignoreNullFields": "false"}).alias("json"))
@@ -96,12 +96,20 @@ def link(calls: DataFrame, results: DataFrame, schemas: dict[str, dict[str, tupl
 
 
 def calls_of(turns: DataFrame) -> DataFrame:
-    """Turns as calls: a system turn configures, a user turn asks for a reply; both wait for the first turn."""
-    name = F.when(F.col("role") == "system", "configure").when(F.col("role") == "user", "reply")
+    """Turns as calls: a system turn configures, a user turn asks for a reply, or for a search that no tool does.
+
+    Turn t waits for turn t // 2 and for the first, so that levels go up to the logarithm of a conversation's
+    length. By the length of the text, five turns in 13 have arguments that a schema must refuse.
+    """
     text = F.coalesce("text", F.lit(""))
-    arguments = F.to_json(F.struct(text.alias("prompt"), F.char_length(text).alias("chars")))
-    first = F.when(F.col("turn") > 0, F.array(_id("conv_id", F.lit(0))))
-    return turns.where("role in ('system', 'user')").select("conv_id", _id("conv_id", F.col("turn")).alias("call_id"), "turn", name.alias("name"), arguments.alias("arguments"), first.alias("after"))
+    n, kind = F.char_length(text), F.char_length(text) % 13
+    name = F.when(F.col("role") == "system", "configure").when(n % 19 == 5, "search").when(F.col("role") == "user", "reply")
+    prompt, chars = text.alias("prompt"), n.alias("chars")
+    arguments = F.when(kind == 1, F.to_json(F.struct(prompt, n.cast("string").alias("chars")))).when(kind == 2, F.to_json(F.struct(chars)))
+    arguments = arguments.when(kind == 3, F.to_json(F.struct(prompt, chars, F.lit("x").alias("note")))).when(kind == 4, F.lit("not JSON")).when(kind == 5, F.lit("[1]"))
+    arguments = arguments.otherwise(F.to_json(F.struct(prompt, chars)))
+    after = F.when(F.col("turn") > 0, F.array(_id("conv_id", F.expr("turn div 2")), _id("conv_id", F.lit(0))))
+    return turns.where("role in ('system', 'user')").select("conv_id", _id("conv_id", F.col("turn")).alias("call_id"), "turn", name.alias("name"), arguments.alias("arguments"), after.alias("after"))
 
 
 def results_of(turns: DataFrame) -> DataFrame:
@@ -121,19 +129,24 @@ def digest(turns: DataFrame) -> DataFrame:
 
 
 SQL = """
-with c as (
-  select min(conv_id) as conv_id, 'call_' || conv_id || '_' || turn as call_id, turn,
-         min(case role when 'system' then 'configure' else 'reply' end) as name, min(coalesce(text, '')) as prompt
-  from conversations where role in ('system', 'user') and conv_id is not null and turn is not null group by conv_id, turn),
-r as (select 'call_' || conv_id || '_' || (turn - 1) as call_id, conv_id, turn, min(coalesce(text, '')) as content
-      from conversations where role = 'assistant' and conv_id is not null and turn is not null group by conv_id, turn),
-l as (select c.*, case when turn > 0 and 'call_' || conv_id || '_0' in (select call_id from c) then 1 else 0 end as level from c)
-select l.conv_id, l.call_id, l.turn, name, cast(level as bigint) as level,
-       row_number() over (partition by l.conv_id order by level, l.turn, l.call_id) as position,
-       r.call_id is not null as linked, true as valid, cast(null as varchar) as problem,
-       sha256('{"arguments":{"chars":' || length(prompt) || ',"prompt":' || to_json(prompt) || '},"id":"' || l.call_id
-              || '","name":"' || name || '","result":' || coalesce(to_json(content), 'null') || '}') as json_sha256
-from l left join r on l.call_id = r.call_id
+with recursive t as (select *, coalesce(text, '') as prompt, length(coalesce(text, '')) as n from conversations where conv_id is not null and turn is not null),
+c as (
+  select conv_id, turn, 'call_' || conv_id || '_' || turn as call_id, case when role = 'system' then 'configure' when n % 19 = 5 then 'search' else 'reply' end as name, prompt, n, n % 13 as kind
+  from t where role in ('system', 'user') qualify row_number() over (partition by conv_id, turn order by name, prompt) = 1),
+r as (select 'call_' || conv_id || '_' || (turn - 1) as call_id, conv_id, turn, min(prompt) as content from t where role = 'assistant' group by conv_id, turn),
+d as (select distinct a.call_id, b.call_id as dep from c a join c b on a.conv_id = b.conv_id and a.turn > 0 and (b.turn = 0 or b.turn = a.turn // 2)),
+p(call_id, depth) as (select call_id, 0 from c union select d.call_id, depth + 1 from p join d on d.dep = p.call_id),
+l as (select call_id, max(depth) as level from p group by call_id),
+j as (select c.*, level, case when kind in (4, 5) then 'not an object' when name = 'search' then 'unknown tool' when kind = 3 then 'unknown field' when kind = 1 then 'type of chars'
+             when kind = 2 then 'missing prompt' end as problem,
+             case kind when 4 then 'null' when 5 then '[1]' else '{"chars":' || case when kind = 1 then '"' || n || '"' else '' || n end || case when kind = 3 then ',"note":"x"' else '' end
+             || case when kind = 2 then '' else ',"prompt":' || to_json(prompt) end || '}' end as arguments
+      from c join l using (call_id))
+select j.conv_id, j.call_id, j.turn, name, cast(level as bigint) as level,
+       row_number() over (partition by j.conv_id order by level, j.turn, j.call_id) as position,
+       r.call_id is not null as linked, problem is null as valid, problem,
+       sha256('{"arguments":' || arguments || ',"id":"' || j.call_id || '","name":"' || name || '","result":' || coalesce(to_json(content), 'null') || '}') as json_sha256
+from j left join r on j.call_id = r.call_id
 union all
 select conv_id, call_id, turn, null, null, null, false, null, 'no call', sha256('{"result":' || to_json(content) || '}')
 from r where call_id not in (select call_id from c)

@@ -295,7 +295,11 @@ def fold(doc_id: Column) -> Column:
 
 
 def fit(docs: DataFrame, labels: DataFrame, s: Settings = Settings()) -> Net:
-    """Trains on at most ``s.sample`` labelled documents of each class, those of least hash, none held out."""
+    """Trains on at most ``s.sample`` labelled documents of each class, those of least hash, none held out.
+
+    An id labelled twice is toxic if any of its labels says so. Where a doc_id repeats, its least text (by code
+    point, then language, nulls first) is learned from, so reruns learn the same.
+    """
     known = labels.where("doc_id is not null and toxic in (0, 1)").where(fold(F.col("doc_id")) != 1).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     texts = docs.where(F.char_length("text") <= s.sample_chars).where("doc_id is not null").select("doc_id", "lang", "text")
     totals = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
@@ -303,7 +307,8 @@ def fit(docs: DataFrame, labels: DataFrame, s: Settings = Settings()) -> Net:
     for toxic, count in sorted(totals.items()):
         # a bounded list of ids, so it may be broadcast
         ids = known.where(F.col("toxic") == toxic).orderBy(F.xxhash64("doc_id"), "doc_id").limit(s.sample)
-        got = texts.join(F.broadcast(ids), "doc_id").dropDuplicates(["doc_id"]).collect()
+        one = F.min(F.struct("text", "lang")).alias("d")
+        got = texts.join(F.broadcast(ids), "doc_id").groupBy("doc_id", "toxic").agg(one).select("doc_id", "toxic", "d.text", "d.lang").collect()
         got.sort(key=lambda r: r["doc_id"])
         rows += [(r["text"], r["lang"], int(toxic), count / max(1, len(got))) for r in got]
     return train(rows, s)
