@@ -230,14 +230,17 @@ def postal_token(numbers: Column) -> Column:
 
 
 def char_ngrams(c: Column, n: int = 3) -> Column:
-    """Set of character n-grams; a shorter text is its own, the empty one has none."""
-    grams = F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(c) - (n - 1)), lambda i: F.substr(c, i, F.lit(n))))
+    """Set of character n-grams; a shorter text is its own, the empty one has none.
+
+    A look-ahead at each place takes one pass; a substring by position would count from the start each time.
+    """
+    grams = F.array_distinct(F.regexp_extract_all(c, F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1)))
     return F.when(c == "", F.array().cast(STRINGS)).when(F.length(c) < n, F.array(c)).otherwise(grams)
 
 
 def jaccard(a: Column, b: Column) -> Column:
-    both = F.size(F.array_intersect(a, b))
-    return F.when((F.size(a) > 0) & (F.size(b) > 0), both / (F.size(a) + F.size(b) - both)).otherwise(0.0)
+    share = let(F.size(F.array_intersect(a, b)), lambda both: both / (F.size(a) + F.size(b) - both))
+    return F.when((F.size(a) > 0) & (F.size(b) > 0), share).otherwise(0.0)
 
 
 def gram_cosine(a: Column, b: Column) -> Column:
@@ -245,6 +248,11 @@ def gram_cosine(a: Column, b: Column) -> Column:
     return F.when((F.size(a) > 0) & (F.size(b) > 0), F.size(F.array_intersect(a, b)) / F.sqrt(F.size(a).cast("double") * F.size(b))).otherwise(0.0)
 
 
+def text_cosine(a: Column, b: Column) -> Column:
+    """``gram_cosine`` of two texts, whose n-grams are made once."""
+    return let(F.struct(char_ngrams(a).alias("a"), char_ngrams(b).alias("b")), lambda s: gram_cosine(s["a"], s["b"]))
+
+
 def normalize_records(df: DataFrame) -> DataFrame:
     """Entity records (entity_id, business_name, business_address, country) with nine normalized fields. Narrow."""
     out = df.select(

@@ -332,7 +332,7 @@ def _flags_sql() -> str:
     """SELECT list of the features that need no string metric, over a left (a) and a right (b) record."""
     tri = lambda x: f"case when coalesce(a.{x}, '') = '' or coalesce(b.{x}, '') = '' then -1.0 when a.{x} = b.{x} then 1.0 else 0.0 end"
     equal = lambda x: f"case when a.{x} <> '' and a.{x} = b.{x} then 1.0 else 0.0 end"
-    both = lambda g: f"len(list_intersect(a.{g}, b.{g}))"
+    both = "i_{}".format
     jaccard = lambda g: f"case when len(a.{g}) > 0 and len(b.{g}) > 0 then {both(g)} / (len(a.{g}) + len(b.{g}) - {both(g)}) else 0 end"
     cosine = lambda g: f"case when len(a.{g}) > 0 and len(b.{g}) > 0 then {both(g)} / sqrt(len(a.{g})::double * len(b.{g})) else 0 end"
     same_nm, same_ad = ("(a.%s = b.%s and a.%s <> '')" % ((x,) * 3) for x in ("name", "address"))
@@ -359,8 +359,10 @@ f0 as (select rec.*, ent.business_address, {Q.sort_tokens('name')} as name_sorte
        from rec join ent using (entity_id) join cl using (entity_id)),
 f1 as (select *, coalesce({Q._map(T.LEGAL_CANONICAL)}[term], term, '') as legal, coalesce(list_filter(string_split(rest, ' '), lambda w: len(w) > 1 and not regexp_matches(w, '^[0-9]+$'))[1], '') as street,
        name || ' ' || name_sorted || ' ' || address as full_text from f0),
-f as (select *, {Q.soundex('word')} as sound, {Q.soundex('street')} as street_sound, {Q.ngrams('name')} as ng, {Q.ngrams('address')} as ag, {Q.ngrams('full_text')} as fg from f1)
-select s1_id, candidate_id, {_flags_sql()} from pairs join f a on a.entity_id = s1_id join f b on b.entity_id = candidate_id""")
+f2 as (select *, {', '.join(f"case when {x} = '' then [] else string_split({x}, '') end as {x}_chars" for x in ('name', 'address', 'full_text'))} from f1),
+f as materialized (select *, {Q.soundex('word')} as sound, {Q.soundex('street')} as street_sound, {Q.long_ngrams('name_chars')} as ng, {Q.long_ngrams('address_chars')} as ag, {Q.long_ngrams('full_text_chars')} as fg from f2),
+i as (select s1_id, candidate_id, {', '.join(f'len(list_intersect(a.{g}, b.{g})) as i_{g}' for g in ('ng', 'ag', 'fg'))} from pairs join f a on a.entity_id = s1_id join f b on b.entity_id = candidate_id)
+select s1_id, candidate_id, {_flags_sql()} from i join f a on a.entity_id = s1_id join f b on b.entity_id = candidate_id""")
 def pair_flags(spark, sf_dir):
     """The 23 features that stay in the JVM; the Python ones are pruned from the plan."""
     s1, s2, s3 = sources(spark, sf_dir)

@@ -92,6 +92,11 @@ def core(name: str) -> str:
     return f"array_to_string(list_sort(list_filter({tokens(name)}, lambda w: len(w) >= 2 and w not in ({stop}))), ' ')"
 
 
+def long_ngrams(x: str) -> str:
+    """``ngrams`` of 3 over a column of characters, for texts so long that substrings by position would count too far."""
+    return f"(case when len({x}) = 0 then [] when len({x}) < 3 then [array_to_string({x}, '')] else list_distinct(list_transform(list_zip({x}[:-3], {x}[2:-2], {x}[3:]), lambda z: z[1] || z[2] || z[3])) end)"
+
+
 def ngrams(x: str, n: int = 3) -> str:
     return f"(case when {x} = '' then [] when len({x}) < {n} then [{x}] else list_distinct(list_transform(range(1, len({x}) - {n - 2}), lambda i: substr({x}, i, {n}))) end)"
 
