@@ -1,5 +1,6 @@
 """Sources, sinks, whole runs and the stream, on records of our own making."""
 
+import hashlib
 import json
 import random
 
@@ -156,3 +157,26 @@ def test_stream(spark, tmp_path, folders):
     normalize_stream(spark, str(source), str(tmp_path / "out"), str(tmp_path / "state")).awaitTermination(120)
     got = spark.read.parquet(str(tmp_path / "out"))
     assert got.count() == 16 and got.where("entity_id = 'S1-x'").first()["address"] == "1 oak street"
+
+
+def test_small_files_are_replaced_whole(spark, tmp_path):
+    path = str(tmp_path / "note.txt")
+    for text in ("first, and longer", "second"):
+        io.write_text(spark, path, text)
+        assert (tmp_path / "note.txt").read_text() == text
+    assert sorted(p.name for p in tmp_path.iterdir() if not p.name.startswith(".")) == ["note.txt"]
+    assert io.file_sha256(spark, path) == hashlib.sha256(b"second").hexdigest()
+    assert io.file_sha256(spark, f"{path}.none") is None
+
+
+def test_cells_lose_white_space_of_all_kinds(spark, tmp_path):
+    (tmp_path / "r.tsv").write_text("entity_id\tbusiness_name\tbusiness_address\tcountry\n S1-1 \t Fern Hall\x1f\t \x0b9 Elm\x0c\tUS　\n")
+    row = io.read_records(spark, str(tmp_path / "r.tsv")).first()
+    assert tuple(row) == ("S1-1", "Fern Hall", "9 Elm", "US")
+
+
+def test_lines_without_tab_are_counted(spark, tmp_path):
+    (tmp_path / "m.tsv").write_text("source1_entity_id\tmatched_entity_ids\n" + "S1-1\n" * 7 + "S1-2\tS2-1\n")
+    required = spark.createDataFrame([("S1-2",)], "s1_id string")
+    errors, _ = validate.validate_file(spark, str(tmp_path / "m.tsv"), "matching", required)
+    assert [e for e in errors if "tab" in e][0].endswith("7 lines without a tab, first 2, 3, 4, 5, 6")
