@@ -110,18 +110,20 @@ class Run:
         c, spark = self.config, self.spark
         fitted = self.train()
         s1, s2, s3 = (table(spark, c.test_dir, f"source{k}", ("test", "train")) for k in (1, 2, 3))
+        try:
+            truth, _ = labels(spark, c.test_dir, ("test", "train"))
+        except FileNotFoundError:
+            truth = None
         if c.smoke:
-            s1 = s1.orderBy("entity_id").limit(20)
+            known = spark.createDataFrame([], "s1_id string, candidate_id string") if truth is None else truth
+            s1, some = sampling.smoke_subset(s1, s2.unionByName(s3), known)
+            s2, s3 = (some.where(F.col("entity_id").startswith(f"{tag}-")) for tag in ("S2", "S3"))
         spine = s1.select(F.col("entity_id").alias("s1_id"))
         pairs = self.candidates(s1, s2, s3, spine)
         scored = self.stage("score", lambda: fitted.score(s1, s2, s3, pairs))
         matches = self.stage("decide", lambda: fitted.decide(scored, spine))
         io.write_candidates(pairs, spine, f"{self.root}/candidate_pairs")
         io.write_matches(matches, spine, f"{self.root}/matching_results")
-        try:
-            truth, _ = labels(spark, c.test_dir, ("test", "train"))
-        except FileNotFoundError:
-            truth = None
         if truth is not None:
             truth = truth.join(spine, "s1_id", "left_semi")
             card = scorecard("test", s1, s2.unionByName(s3), pairs, scored, matches, truth, fitted.threshold)

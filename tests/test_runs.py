@@ -125,6 +125,12 @@ def test_run(spark, tmp_path, folders):
     assert (tmp_path / "mirror/latest/scorecard.json").exists()
     again = pipeline.Run(spark, config).execute()  # every stage is read, none made again
     assert sorted(map(tuple, again.collect())) == sorted(map(tuple, matches.collect()))
+    # the saved model has all settings; a smoke run with it takes few targets beside the true ones
+    assert model.PairModel.load(spark, str(tmp_path / "runs/r/model")).config == SMALL
+    smoke = pipeline.RunConfig(str(folders[0]), str(folders[1]), str(tmp_path), run_id="s", smoke=True, model_path=str(tmp_path / "runs/r/model"), model=SMALL)
+    pipeline.Run(spark, smoke).execute()
+    small = json.loads((tmp_path / "runs/s/scorecard.json").read_text())
+    assert small["n_s1_entities"] == 15 and small["blocking_pair_recall"] == card["blocking_pair_recall"]
     # the written file passes validation
     io.write_matches(matches, io.read_ids(spark, str(folders[1] / "test_source1.tsv")).withColumnRenamed("entity_id", "s1_id"), str(tmp_path / "one"), single=True)
     file = str(next((tmp_path / "one").glob("part*")))
