@@ -7,12 +7,13 @@ too far apart goes no further. What is left are pairs of intervals, each compare
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import cut
@@ -51,10 +52,10 @@ def pack(rows: DataFrame, order: list[str], coords: int, payload: int, size: int
     parts = rows.repartitionByRange(*order).sortWithinPartitions(*order).select("node", "weight", "at", "body")
     # range bounds come from a sample: what was cut is written down once
     subs = cut(parts.mapInArrow(cut_up, kinds))
-    totals = subs.groupBy("pid").agg(F.sum("n").alias("n")).select("pid", F.struct("pid", "n").alias("x"))
-    # one short row for each range partition
-    starts = totals.groupBy().agg(F.array_sort(F.collect_list("x")).alias("xs"))
-    starts = starts.select(F.posexplode("xs").alias("i", "x"), "xs").select(F.col("x.pid").alias("pid"), F.aggregate(F.slice("xs", 1, F.col("i")), F.lit(0).cast("long"), lambda a, x: a + x["n"]).alias("start"))
+    totals = subs.groupBy("pid").agg(F.sum("n").alias("n"))
+    # a running sum over one short row for each range partition
+    before = Window.orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)
+    starts = totals.select("pid", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
     placed = subs.join(starts, "pid").withColumn("rank", F.col("start") + F.col("chunk") * sub)
     placed = placed.withColumn("block", F.floor(F.col("rank") / size)).select("block", "rank", "n", "data")
 
@@ -80,7 +81,7 @@ def unpack(data: bytes, n: int, coords: int, payload: int) -> tuple[np.ndarray,
 
 def near_pairs(blocks: DataFrame, coords: int, near: Callable[[list[Column]], Column]) -> DataFrame:
     """Pairs (i, j), i <= j, of intervals that may hold a pair; ``near`` judges the gaps of two boxes."""
-    summary = cut(blocks.select("block", *[F.get("lo", F.lit(c)).alias(f"lo{c}") for c in range(coords)], *[F.get("hi", F.lit(c)).alias(f"hi{c}") for c in range(coords)]))
+    summary = cut(blocks.select("block", *[F.get("lo", F.lit(c)).alias(f"lo{c}") for c in range(coords)], *[F.get("hi", F.lit(c)).alias(f"hi{c}") for c in range(coords)]), short=True)
     top = summary.agg(F.max("block")).first()[0]
     levels = 0 if top is None else int(top).bit_length()
     pairs = summary.sparkSession.createDataFrame([(0, 0)] if top is not None else [], "i long, j long")
@@ -96,17 +97,33 @@ def near_pairs(blocks: DataFrame, coords: int, near: Callable[[list[Column]], Co
         gaps = [F.greatest(F.col(f"lo_i{c}") - F.col(f"hi_j{c}"), F.col(f"lo_j{c}") - F.col(f"hi_i{c}"), F.lit(0.0)) for c in range(coords)]
         pairs = pairs.join(left, "i").join(right, "j").where(near(gaps)).select("i", "j")
         if level % 4 == 3:
-            pairs = cut(pairs)
-    return cut(pairs)
+            pairs = cut(pairs, short=True)
+    return cut(pairs, short=True)
 
 
-def compare(blocks: DataFrame, pairs: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], kinds: str) -> DataFrame:
-    """Runs ``run`` over rows (i, j, n_i, data_i, n_j, data_j), dealt out evenly."""
-    tasks = max(2 * blocks.sparkSession.sparkContext.defaultParallelism, pairs.count() // 8)
-    left = blocks.select(F.col("block").alias("i"), F.col("n").alias("n_i"), F.col("data").alias("data_i"))
-    right = blocks.select(F.col("block").alias("j"), F.col("n").alias("n_j"), F.col("data").alias("data_j"))
-    both = pairs.join(left, "i").join(right, "j").select("i", "j", "n_i", "data_i", "n_j", "data_j")
-    return both.repartition(tasks, "i", "j").mapInArrow(run, kinds)
+def compare(blocks: DataFrame, pairs: DataFrame, run: Callable[[dict], pa.RecordBatch], kinds: str, *, tile: int | None = None) -> DataFrame:
+    """Rows of ``run`` of each pair of intervals, a dict of i, j, n_i, data_i, n_j, data_j.
+
+    Intervals form tiles of ``tile`` neighbours, 8 where that leaves all cores enough tasks. A task compares
+    what is asked for of two tiles, so that an interval travels once for each tile that it has a partner in.
+    """
+    if tile is None:
+        wanted = 8 * blocks.sparkSession.sparkContext.defaultParallelism
+        tile = max(1, min(8, int(blocks.count() / math.sqrt(wanted))))
+    asked = pairs.select(F.floor(F.col("i") / tile).alias("a"), F.floor(F.col("j") / tile).alias("b"), "i", "j")
+    sent = asked.select("a", "b", F.explode(F.array("i", "j")).alias("block")).distinct().join(blocks.select("block", "n", "data"), "block")
+
+    def tiles(sent: pa.Table, asked: pa.Table) -> Iterator[pa.RecordBatch]:
+        rows = {b: (n, d) for b, n, d in zip(*(sent.column(c).to_pylist() for c in ("block", "n", "data")), strict=True)}
+        for i, j in zip(asked.column("i").to_pylist(), asked.column("j").to_pylist(), strict=True):
+            (n_i, data_i), (n_j, data_j) = rows[i], rows[j]
+            yield run({"i": i, "j": j, "n_i": n_i, "data_i": data_i, "n_j": n_j, "data_j": data_j})
+
+    def together(sent: pa.Table, asked: pa.Table) -> pa.Table:
+        return pa.Table.from_batches(tiles(sent, asked))
+
+    asked = asked.select(F.col("a").alias("tile_a"), F.col("b").alias("tile_b"), "i", "j")
+    return sent.groupBy("a", "b").cogroup(asked.groupBy("tile_a", "tile_b")).applyInArrow(together, kinds)
 
 
 class Links:

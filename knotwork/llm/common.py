@@ -6,6 +6,7 @@ through shuffles and ``DataFrame.checkpoint`` in the folder that ``spark.checkpo
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -25,18 +26,23 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the cluster's shared folder; make a local one only where the session names none (tests)."""
+    """Use the cluster's shared folder. Only a session of one machine that names none gets a folder of its own."""
     if spark.sparkContext.getCheckpointDir() is None:
         named = spark.conf.get("spark.checkpoint.dir", None)
+        if named is None and not re.fullmatch(r"local(\[[\d*,]+\])?", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         spark.sparkContext.setCheckpointDir(named or tempfile.mkdtemp(prefix="knotwork-checkpoint-"))
 
 
-def cut(df: DataFrame) -> DataFrame:
+def cut(df: DataFrame, *, short: bool = False) -> DataFrame:
     """Write the rows to the shared checkpoint folder once and go on from there.
 
-    Later plans read the files, so a lost executor costs no earlier stage.
+    Later plans read the files, so a lost executor costs no earlier stage. ``short`` is for rows of a few
+    numbers: they go to no more files than twice the cores, not to one for each shuffle partition.
     """
     ensure_checkpoint_dir(df.sparkSession)
+    if short:
+        df = df.coalesce(2 * df.sparkSession.sparkContext.defaultParallelism)
     return df.checkpoint(eager=True)
 
 
@@ -64,7 +70,7 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), GAP), lambda w: w != "")
 
 
-def components(edges: DataFrame, limit: int = 60) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """Smallest node reachable from each node of an undirected graph.
 
     ``edges`` has long columns ``u`` and ``v``. Returns ``node``, ``component`` for every node named by
@@ -72,9 +78,9 @@ def components(edges: DataFrame, limit: int = 60) -> DataFrame:
     each a partially aggregated minimum and a join that adaptive execution may split on a hub, until no
     edge changes. Nothing but two scalars a round reaches the driver.
     """
-    stars = cut(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
+    stars = cut(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), short=True)
     seen = None
-    for _ in range(limit):
+    while True:  # each round moves edges to smaller nodes, so it ends
         # large star: every larger neighbour of u moves to the smallest node around u
         both = stars.unionByName(stars.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
@@ -84,14 +90,12 @@ def components(edges: DataFrame, limit: int = 60) -> DataFrame:
         # small star: u's smaller neighbours, and u, move to the smallest of them
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         moved = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        stars = cut(moved.unionByName(low.select("u", F.col("m").alias("v"))).distinct())
+        stars = cut(moved.unionByName(low.select("u", F.col("m").alias("v"))).distinct(), short=True)
         # the sum of hashes is a fingerprint of the edge set; modulo keeps it in a long
         now = stars.agg(F.count("*"), F.sum(F.pmod(F.xxhash64("u", "v"), F.lit(1 << 40)))).first()
         if now == seen:
             break
         seen = now
-    else:
-        raise RuntimeError(f"components did not settle in {limit} rounds")
     down = stars.groupBy("u").agg(F.min("v").alias("component")).withColumnRenamed("u", "node")
     roots = down.select(F.col("component").alias("node"), "component").distinct()
     return down.unionByName(roots)

@@ -1,6 +1,7 @@
 """Embedding near-dedup by an epsilon grid order join.
 
-Unit vectors are projected on their leading principal dimensions, sorted by the cells of a grid as wide as
+Unit vectors are projected on their leading principal dimensions, to which the length of what is left over is
+added as one more; they are sorted by the cells of a grid as wide as
 the largest distance of a link, and joined interval by interval; intervals whose boxes are provably
 farther apart are skipped. What is left is compared exactly in double precision.
 """
@@ -32,7 +33,7 @@ def principal(classes: DataFrame, dims: int, width: int, sample: int) -> np.ndar
     return axes[:, ::-1][:, :dims]
 
 
-def link(vectors: DataFrame, *, least: float = 0.9, dims: int = 8, sample: int = 4_096, block_bytes: int = 1 << 22) -> DataFrame:
+def link(vectors: DataFrame, *, least: float = 0.9, dims: int = 8, sample: int = 4_096, block_bytes: int = 1 << 22, tile: int | None = None) -> DataFrame:
     """One row per row of ``vectors`` (vec_id, embedding): ``vec_id``, ``n_links``, ``component_id``, ``kept``.
 
     Linked are vectors of cosine ``least`` or more. A vector that is null, zero, empty or holds null or
@@ -61,27 +62,24 @@ def link(vectors: DataFrame, *, least: float = 0.9, dims: int = 8, sample: int =
             unit = x / np.abs(x).max(1, keepdims=True)
             unit /= np.linalg.norm(unit, axis=1, keepdims=True)
             at = unit @ axes
+            rest = np.linalg.norm(unit - at @ axes.T, axis=1, keepdims=True)  # differs by no more than the vectors do
+            at = np.concatenate([at, rest], 1)
             cols = [part.column("node"), part.column("weight"), pa.array(np.floor(at / eps).astype(np.int32).tolist(), pa.list_(pa.int32())), pa.array(at.tolist(), pa.list_(pa.float64())), pa.array([r.tobytes() for r in unit.astype("<f8")], pa.binary())]
             yield pa.RecordBatch.from_arrays(cols, names=["node", "weight", "cell", "at", "body"])
 
     placed = classes.select("node", "weight", "embedding").mapInArrow(place, "node long, weight long, cell array<int>, at array<double>, body binary")
-    blocks = pack(placed, ["cell", "at", "node"], dims, 8 * width, block)
+    blocks = pack(placed, ["cell", "at", "node"], dims + 1, 8 * width, block)
 
     def near(gaps):
         return sum((g * g for g in gaps), F.lit(0.0)) <= eps * eps
 
-    pairs = near_pairs(blocks, dims, near)
-
-    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
-            for r in part.to_pylist():
-                yield _compare(r, dims, width, least)
-
-    found = cut(compare(blocks, pairs, run, "u long, v long, n long"))
+    pairs = near_pairs(blocks, dims + 1, near)
+    found = cut(compare(blocks, pairs, lambda r: _compare(r, dims + 1, width, least), "u long, v long, n long", tile=tile))
     links = found.where("v is null").groupBy(F.col("u").alias("node")).agg(F.sum("n").alias("linked"))
     comp = components(found.where("v is not null").select("u", "v"))
     named = classes.join(comp, "node", "left").withColumn("root", F.coalesce("component", "node"))
-    least_id = named.groupBy("root").agg(F.min("rep").alias("component_id"))
+    # written down, so that the join with it is one that adaptive execution splits where a component is hot
+    least_id = cut(named.groupBy("root").agg(F.min("rep").alias("component_id")), short=True)
     named = named.join(least_id, "root").join(links, "node", "left")
     named = named.select("embedding", "component_id", (F.col("weight") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links"))
     out = rows.where("good").join(named, "embedding").select("vec_id", "n_links", "component_id")

@@ -1,8 +1,9 @@
 """SimHash near-dedup with vantage-point trees.
 
-Fingerprints are partitioned by their Hamming distances to vantage points, ring by ring; two fingerprints
-within r bits lie in rings at most r apart, at every vantage point. That bound prunes branches inside a
-task and pairs of shards between tasks; shards at a boundary are both queried, so that no pair is lost.
+Fingerprints are partitioned by their Hamming distances to a few vantage points, ring by ring; two fingerprints
+within r bits lie in rings at most r apart, at every vantage point. That bound prunes pairs of shards; shards
+at a boundary are both queried, so that no pair is lost. In a pair of shards one is searched as a tree whose
+branches have vantage points of their own.
 """
 
 from __future__ import annotations
@@ -73,29 +74,43 @@ def vantage_points(fps: DataFrame, count: int, sample: int) -> list[int]:
     return chosen
 
 
-def _descend(a: np.ndarray, da: np.ndarray, b: np.ndarray, db: np.ndarray, bits: int, level: int = 0, small: int = 1 << 17):
-    """Index pairs within ``bits``: rings of one vantage point after another, then the exact count."""
-    if len(a) * len(b) <= small or level == da.shape[1]:
+def _widest(fps: np.ndarray) -> np.uint64:
+    """Of a few, the fingerprint from which distances to all vary most."""
+    tried = fps[:: max(1, len(fps) // 8)]
+    return tried[np.bitwise_count(tried[:, None] ^ fps[None, :: max(1, len(fps) // 512)]).var(1).argmax()]
+
+
+def search(a: np.ndarray, b: np.ndarray, bits: int, small: int = 1 << 17, depth: int = 0) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Index pairs within ``bits``: ``b`` is a vantage-point tree, ``a`` its queries.
+
+    Each branch has a vantage point of its own and a child for each ring around it. By the triangle
+    inequality a child can only hold partners of queries at most ``bits`` rings away.
+    """
+    if len(a) * len(b) <= small or depth == 8:  # leaves are compared pair by pair
         step = max(1, (1 << 21) // max(1, len(b)))
         for k in range(0, len(a), step):
             x, y = np.nonzero(np.bitwise_count(a[k : k + step, None] ^ b[None, :]) <= bits)
             if len(x):
                 yield x + k, y
         return
-    # rows come sorted by ring, so that a ring is a slice
-    ra, rb = da[:, level], db[:, level]
-    for v in np.unique(ra):
-        i0, i1 = np.searchsorted(ra, v, "left"), np.searchsorted(ra, v, "right")
-        low, high = np.searchsorted(rb, v - bits, "left"), np.searchsorted(rb, v + bits, "right")
-        for u in np.unique(rb[low:high]):
-            j0, j1 = np.searchsorted(rb, u, "left"), np.searchsorted(rb, u, "right")
-            for x, y in _descend(a[i0:i1], da[i0:i1], b[j0:j1], db[j0:j1], bits, level + 1, small):
-                yield x + i0, y + j0
+    v = _widest(b)
+    ra, rb = (np.bitwise_count(x ^ v).astype(np.int16) for x in (a, b))
+    oa, ob = np.argsort(ra, kind="stable"), np.argsort(rb, kind="stable")
+    ra, rb = ra[oa], rb[ob]
+    for ring in np.unique(rb):
+        j = ob[np.searchsorted(rb, ring, "left") : np.searchsorted(rb, ring, "right")]
+        i = oa[np.searchsorted(ra, ring - bits, "left") : np.searchsorted(ra, ring + bits, "right")]
+        if len(i):
+            for x, y in search(a[i], b[j], bits, small, depth + 1):
+                yield i[x], j[y]
 
 
 def link(fps: DataFrame, *, bits: int = 4, points: int = 3, sample: int = 4_096, block: int = 8_192) -> DataFrame:
-    """(fp, root) for each distinct fingerprint: the smallest fingerprint reachable over links of at most ``bits``."""
-    distinct = cut(fps.select("fp").where("fp is not null").distinct())
+    """(fp, root) for each distinct fingerprint: the smallest fingerprint reachable over links of at most ``bits``.
+
+    ``points`` vantage points are shared by all shards; a shard has ``block`` fingerprints.
+    """
+    distinct = cut(fps.select("fp").where("fp is not null").distinct(), short=True)
     vps = vantage_points(distinct, points, sample)
     rings = [F.bit_count(F.col("fp").bitwiseXOR(F.lit(v))).cast("double") for v in vps]
     rows = distinct.select(F.col("fp").alias("node"), F.lit(1).cast("long").alias("weight"), F.array(*rings).alias("at"), F.lit(b"").alias("body"))
@@ -106,17 +121,15 @@ def link(fps: DataFrame, *, bits: int = 4, points: int = 3, sample: int = 4_096,
 
     pairs = near_pairs(blocks, points, near)
 
-    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
-            for r in part.to_pylist():
-                a, _, da, _ = unpack(r["data_i"], r["n_i"], points, 0)
-                b, _, db, _ = unpack(r["data_j"], r["n_j"], points, 0)
-                same, links = r["i"] == r["j"], Links(len(a) if r["i"] == r["j"] else len(a) + len(b))
-                for x, y in _descend(a.view(np.uint64), da, b.view(np.uint64), db, bits):
-                    links.add(x, y) if same else links.add(x, y + len(a))
-                leaf, root = links.stars()
-                node = a if same else np.concatenate([a, b])
-                yield pa.RecordBatch.from_arrays([pa.array(node[leaf]), pa.array(node[root])], names=["u", "v"])
+    def run(r: dict) -> pa.RecordBatch:
+        a, *_ = unpack(r["data_i"], r["n_i"], points, 0)
+        b, *_ = unpack(r["data_j"], r["n_j"], points, 0)
+        same, links = r["i"] == r["j"], Links(len(a) if r["i"] == r["j"] else len(a) + len(b))
+        for x, y in search(a.view(np.uint64), b.view(np.uint64), bits):
+            links.add(x, y) if same else links.add(x, y + len(a))
+        leaf, root = links.stars()
+        node = a if same else np.concatenate([a, b])
+        return pa.RecordBatch.from_arrays([pa.array(node[leaf]), pa.array(node[root])], names=["u", "v"])
 
     edges = compare(blocks, pairs, run, "u long, v long")
     found = components(edges)
@@ -135,8 +148,10 @@ def near_duplicates(docs: DataFrame, *, bits: int = 4, shingle: int = 4) -> Data
     fps = cut(fingerprints(docs, shingle))
     classes = fps.groupBy("fp").agg(F.min("doc_id").alias("rep"))
     roots = link(fps, bits=bits)
-    named = classes.join(roots, "fp")
-    named = named.join(named.groupBy("root").agg(F.min("rep").alias("component_id")), "root").select("fp", "component_id")
+    named = cut(classes.join(roots, "fp"), short=True)
+    # written down, so that the join with it is one that adaptive execution splits where a component is hot
+    least = cut(named.groupBy("root").agg(F.min("rep").alias("component_id")), short=True)
+    named = named.join(least, "root").select("fp", "component_id")
     return fps.join(named, "fp").select("doc_id", "fp", "component_id")
 
 

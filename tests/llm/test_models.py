@@ -2,6 +2,8 @@
 
 import collections
 import math
+import re
+import zlib
 
 import numpy as np
 import pytest
@@ -43,6 +45,45 @@ def test_toxicity_learns_words_and_stems():
     assert scorer.score(long) > max(good)
 
 
+def brute_score(net, text):
+    """The same network as plain sums: word by word, filter by filter."""
+    words = re.findall(r"\w+", (text or "").lower()) or [""]
+    rows = [np.concatenate([net.embed[net.words.get(zlib.crc32(w.encode()) % net.s.buckets, 0)], toxicity.evidence_of(w, net.evidence)]) for w in words]
+    zero = np.zeros_like(rows[0])
+    feats = []
+    for conv, bias in zip(net.conv, net.bias, strict=True):
+        for f in range(conv.shape[2]):
+            tops = [bias[f] + sum(float(conv[o][:, f] @ (rows[i + o] if i + o < len(rows) else zero)) for o in range(len(conv))) for i in range(len(rows))]
+            feats.append(max(0.0, max(tops)))
+    a, b = net.scale
+    return 1 / (1 + math.exp(-(a * (float(np.dot(feats, net.out)) + net.out_bias) + b)))
+
+
+def test_toxicity_against_brute_force(spark, small, odd):
+    docs, labels = spark.read.parquet(f"{small}/documents.parquet"), spark.read.parquet(f"{small}/labels.parquet")
+    net = toxicity.fit(docs, labels)
+    some = [r["text"] for r in docs.where("length(text) < 4000").orderBy("doc_id").limit(60).collect()]
+    odd_texts = [r["text"] for r in odd.collect() if len(r["text"] or "") < 9_000]
+    scorer = toxicity.Scorer(net)
+    for text in [*some, *odd_texts, "", None, "ÀÉ straße", "x" * 500]:
+        assert scorer.score(text) == pytest.approx(brute_score(net, text), abs=1e-5)
+    got = toxicity.digest(docs, labels).toPandas().set_index("doc_id")
+    for r in docs.where("length(text) < 4000").orderBy("doc_id").limit(25).collect():
+        row = got.loc[r["doc_id"]]
+        assert row.score == pytest.approx(brute_score(net, r["text"]), abs=1e-5) and row.predicted == int(row.score >= 0.7)
+        assert row.held_out == (zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1)
+    assert len(got) == docs.count()
+
+
+def test_toxicity_learns_the_same_from_repeated_ids(spark):
+    bad, good = "vile badword rant " * 5, "calm words of the day " * 5
+    rows = [(i, bad if i % 2 else good, "en") for i in range(200)] + [(i, "other text", "en") for i in range(0, 200, 7)]
+    labels = spark.createDataFrame([(i, 1, i % 2) for i in range(200)], "doc_id long, quality int, toxic int")
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    one, two = (toxicity.fit(d, labels) for d in (docs, docs.repartition(7).orderBy(F.rand(3))))
+    assert np.array_equal(one.embed, two.embed) and np.array_equal(one.out, two.out) and one.evidence == two.evidence
+
+
 def test_toxicity_without_labels(spark, odd, empty):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert toxicity.digest(odd, none).where("predicted = 1").count() == 0
@@ -155,7 +196,8 @@ def test_embedding_dedup(spark):
     rows += [(800, None), (801, []), (802, [0.0] * 16), (803, [float("nan")] * 16), (804, [float("inf")] + [1.0] * 15), (805, [None] + [1.0] * 15), (806, [1.0, 2.0]), (None, rows[7][1])]
     df = spark.createDataFrame([(i, e, 1, "x") for i, e in rows], "vec_id long, embedding array<float>, label int, n_links string")
     assert rows_of(embedding_dedup.digest(df)) == brute_links(rows)
-    assert rows_of(embedding_dedup.link(df, dims=3, block_bytes=32 * 8 * 16, sample=50)) == brute_links(rows)
+    for tile in (1, 3):
+        assert rows_of(embedding_dedup.link(df, dims=3, block_bytes=32 * 8 * 16, sample=50, tile=tile)) == brute_links(rows)
     assert embedding_dedup.digest(df.where("false")).count() == 0
 
 

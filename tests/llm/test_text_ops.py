@@ -210,6 +210,16 @@ def test_vantage_points_lose_no_pair(spark):
     assert got == want
 
 
+def test_search_is_a_tree_that_loses_nothing():
+    rng = np.random.default_rng(6)
+    a = rng.integers(0, 1 << 63, 700, dtype=np.int64).astype(np.uint64)
+    b = np.concatenate([a[:300] ^ np.uint64(0b1011), a[:50], rng.integers(0, 1 << 63, 400, dtype=np.int64).astype(np.uint64), np.repeat(a[:1], 40)])
+    want = set(zip(*(x.tolist() for x in np.nonzero(np.bitwise_count(a[:, None] ^ b[None, :]) <= 4)), strict=True))
+    for small in (1, 64, 5_000):
+        got = [p for x, y in simhash.search(a, b, 4, small) for p in zip(x.tolist(), y.tolist(), strict=True)]
+        assert len(got) == len(set(got)) and set(got) == want
+
+
 def test_keep_one(odd, odd_rows):
     kept = [r["doc_id"] for r in simhash.keep_one(odd).collect()]
     want = {r[2] for r in brute_simhash(odd_rows)}
