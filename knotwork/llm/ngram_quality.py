@@ -257,8 +257,10 @@ def score(docs: DataFrame, model: Model, keys: tuple[str, ...] = (), *, block_by
         return table.drop_columns(["text"]).append_column("n_bytes", pa.array(n)).append_column("cross_entropy", h)
 
     by = pack(docs, block_bytes).repartition(parts, "block")
-    asked = by.mapInArrow(ask, "block long, code long").repartition(parts, "code")
-    told = asked.join(model.log_probability(asked.select("code").distinct()), "code").select("block", "code", "logp")
+    asked = by.mapInArrow(ask, "block long, code long").where("code is not null").repartition(parts, "code")
+    # with the same columns and filters, both uses read one exchange
+    once = asked.groupBy("code").agg(F.min("block").alias("first")).where("first is not null").select("code")
+    told = asked.join(model.log_probability(once), "code").select("block", "code", "logp")
     carried = "".join(f"{c} long, " for c in keys)
     kinds = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, lang string, {carried}n_bytes long, cross_entropy double"
     return by.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(tell, kinds)
