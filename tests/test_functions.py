@@ -152,3 +152,30 @@ def test_prepared_record(spark):
 
 def test_tables_are_whole():
     assert (len(tables.US_STATES), len(tables.INDIA_STATES), len(tables.LEGAL_TERMS), len(tables.BLOCKING_STOPWORDS)) == (54, 41, 43, 28)
+
+
+def test_a_right_text_is_read_once_for_all_left_texts(monkeypatch):
+    """It was read once for each."""
+    import random
+
+    S = similarity
+
+    rnd = random.Random(5)
+    word = lambda n, letters="abé ": "".join(rnd.choice(letters) for _ in range(n))
+
+    def plain_lcs(a, b):
+        row = [0] * (len(b) + 1)
+        for x in a:
+            last = 0
+            for j, y in enumerate(b, 1):
+                last, row[j] = row[j], last + 1 if x == y else max(row[j], row[j - 1])
+        return row[-1]
+
+    b = word(70)
+    texts = ["", "b", b, b[3:40], *[word(rnd.randrange(1, 90)) for _ in range(40)], "\U0001f600\0" + b[:9]]
+    assert S.lcs_many(texts, b) == [plain_lcs(a, b) for a in texts] == [S.lcs(a, b) for a in texts]
+    assert S.lcs_many(["a\0b", ""], "\0b") == [2, 0]
+    passes, many = [], S.lcs_many
+    monkeypatch.setattr(S, "lcs_many", lambda some, right: passes.append(right) or many(some, right))
+    assert S.ratios([(a, b) for a in texts]) == [2 * plain_lcs(a, b) / (len(a) + len(b)) for a in texts]
+    assert passes == [b]
