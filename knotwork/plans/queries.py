@@ -5,7 +5,7 @@ from __future__ import annotations
 import functools
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import similarity as S
@@ -171,11 +171,40 @@ _PARTS = """p as (select p_partkey, p_brand, p_size, p_name || ' ' || p_type as
 pp as (select a.p_partkey as a_key, b.p_partkey as b_key, a.t as a, b.t as b from p a join p b on a.p_brand = b.p_brand and a.p_size = b.p_size and a.p_partkey < b.p_partkey)"""
 
 
-def part_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_size", F.concat_ws(" ", "p_name", "p_type").alias("t"))
-    a = p.select("p_brand", "p_size", F.col("p_partkey").alias("a_key"), F.col("t").alias("a"))
-    b = p.select("p_brand", "p_size", F.col("p_partkey").alias("b_key"), F.col("t").alias("b"))
-    return a.join(b, ["p_brand", "p_size"]).where("a_key < b_key").select("a_key", "b_key", "a", "b")
+#: Pairs that a task makes; a key with more goes to several tasks.
+PAIRS_A_TASK = 4_000_000
+
+
+def dealt_join(left: DataFrame, right: DataFrame, on: list[str], sizes: DataFrame, spread: str) -> DataFrame:
+    """Inner join on ``on``, in tasks of about ``PAIRS_A_TASK`` pairs however common a key is.
+
+    ``sizes`` (``on``, pairs) says how many pairs a key makes. The left rows of a key with more are dealt out over
+    parts by a hash of column ``spread``; its right rows go to each part.
+    """
+    tasks = max(1, -(-(sizes.agg(F.sum("pairs")).first()[0] or 0) // PAIRS_A_TASK))
+    parts = sizes.where(F.col("pairs") > PAIRS_A_TASK).select(*on, F.ceil(F.col("pairs") / PAIRS_A_TASK).alias("_parts"))
+    n, key = F.coalesce("_parts", F.lit(1).cast("long")), [*on, "_part"]
+    left = left.join(parts, on, "left").withColumn("_part", F.pmod(F.xxhash64(spread), n)).drop("_parts")
+    right = right.join(parts, on, "left").withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), n - 1))).drop("_parts")
+    return left.repartition(tasks, *key).join(right.repartition(tasks, *key), key).drop("_part")
+
+
+def part_pairs(spark: SparkSession, sf_dir: str, **measures: Column) -> DataFrame:
+    """All pairs of parts of one brand and size, with ``measures`` of their texts ``a`` and ``b``.
+
+    Measures are taken of the different texts of a brand and size, once for all pairs of parts that have them.
+    """
+    p = table(spark, sf_dir, "part").select("p_brand", "p_size", "p_partkey", F.concat_ws(" ", "p_name", "p_type").alias("t"))
+    group = ["p_brand", "p_size"]
+    counts = p.groupBy(*group, "t").agg(F.count("*").alias("n"))
+    texts = counts.select(*group, "t")
+    # spread, as a few rows of text can make many pairs
+    both = texts.withColumnRenamed("t", "a").join(texts.withColumnRenamed("t", "b"), group).repartition(spark.sparkContext.defaultParallelism)
+    measured = both.select(*group, "a", "b", *[m.alias(name) for name, m in measures.items()])
+    a = p.select(*group, F.col("p_partkey").alias("a_key"), F.col("t").alias("a")).join(measured, [*group, "a"]).drop("a")
+    b = p.select(*group, F.col("p_partkey").alias("b_key"), F.col("t").alias("b"))
+    sizes = counts.join(counts.groupBy(group).agg(F.sum("n").alias("all")), group).select(*group, F.col("t").alias("b"), (F.col("n") * F.col("all")).alias("pairs"))
+    return dealt_join(a, b, [*group, "b"], sizes, "a_key").where("a_key < b_key").select("a_key", "b_key", *measures)
 
 
 _A, _B = Q.ngrams("a"), Q.ngrams("b")
@@ -186,12 +215,12 @@ _BOTH = f"len(list_intersect({_A}, {_B}))"
 round({_BOTH} / sqrt(cast(len({_A}) as double) * len({_B})), 6) as cosine from pp""")
 def char_ngram_similarity(spark, sf_dir):
     a, b = X.char_ngrams(F.col("a")), X.char_ngrams(F.col("b"))
-    return part_pairs(spark, sf_dir).select("a_key", "b_key", F.round(X.jaccard(a, b), 6).alias("jaccard"), F.round(X.gram_cosine(a, b), 6).alias("cosine"))
+    return part_pairs(spark, sf_dir, jaccard=F.round(X.jaccard(a, b), 6), cosine=F.round(X.gram_cosine(a, b), 6))
 
 
 @query(f"with {_PARTS} select a_key, b_key, round(jaro_winkler_similarity(a, b), 6) as similarity from pp")
 def jaro_winkler_pairs(spark, sf_dir):
-    return part_pairs(spark, sf_dir).select("a_key", "b_key", F.round(S.jaro_winkler_similarity(F.col("a"), F.col("b")), 6).alias("similarity"))
+    return part_pairs(spark, sf_dir, similarity=F.round(S.jaro_winkler_similarity(F.col("a"), F.col("b")), 6))
 
 
 _WORDS = "list_filter(string_split({}, ' '), lambda w: w <> '')"
@@ -213,7 +242,7 @@ from f join r p on p.s = a and p.t = b join r q on q.s = sa and q.t = sb join r
 def token_ratios(spark, sf_dir):
     a, b = F.col("a"), F.col("b")
     ratios = {"ratio": S.indel_ratio(a, b), "sort_ratio": S.token_sort_similarity(a, b), "set_ratio": S.token_set_similarity(a, b)}
-    return part_pairs(spark, sf_dir).select("a_key", "b_key", *[F.round(c, 6).alias(n) for n, c in ratios.items()])
+    return part_pairs(spark, sf_dir, **{n: F.round(c, 6) for n, c in ratios.items()})
 
 
 @query("""select s_suppkey, c_custkey, case when a = '' or b = '' then -1.0 when a = b then 1.0 else 0.0 end as match from (

@@ -62,3 +62,27 @@ def test_pair_queries_use_the_operators_values(spark, tiny, monkeypatch, name):
     core.QUERIES[name](spark, tiny)
     assert [c.max_key_targets for c in configs] == [250]
     assert fits == ([(150, 0.05, 5)] if name == "gbt_pair_scores" else [])
+
+
+@pytest.fixture(scope="module")
+def copied(tmp_path_factory):
+    """60 parts of one brand and size with two texts, and one nation of 40 suppliers and 50 customers."""
+    d = tmp_path_factory.mktemp("copied")
+    c = duckdb.connect()
+    c.execute("create table part as select i as p_partkey, ['red bolt', 'hot rod'][1 + i % 2] as p_name, 'B' as p_brand, 'LARGE' as p_type, 1 as p_size from range(60) r(i)")
+    for t, k, n in (("supplier", "s", 40), ("customer", "c", 50)):
+        key = {"s": "supp", "c": "cust"}[k]
+        c.execute(f"create table {t} as select i as {k}_{key}key, 'N#' || i as {k}_name, 3 as {k}_nationkey, (i % 7 - 1)::double as {k}_acctbal from range({n}) r(i)")
+    for t in ("part", "supplier", "customer"):
+        c.execute(f"copy {t} to '{d}/{t}.parquet' (format parquet)")
+    return c, str(d)
+
+
+@pytest.mark.parametrize("name", ["char_ngram_similarity", "jaro_winkler_pairs", "token_ratios"])
+def test_measures_are_taken_once_for_equal_texts(spark, copied, monkeypatch, name):
+    """They were taken for each of 1,770 pairs."""
+    c, d = copied
+    monkeypatch.setattr(core, "PAIRS_A_TASK", 100)
+    assert core.part_pairs(spark, d, m=core.F.uuid()).agg(core.F.countDistinct("m"), core.F.count("*")).first()[:] == (4, 1770)
+    got = core.QUERIES[name](spark, d)
+    assert plain(got.collect()) == plain(c.execute(core.ORACLE_SQL[name]).fetchdf()[got.columns].itertuples(index=False, name=None))
