@@ -249,9 +249,13 @@ def token_ratios(spark, sf_dir):
 select s_suppkey, c_custkey, case when s_acctbal < 0 then '' else right(s_name, 1) end as a, case when c_acctbal < 0 then '' else right(c_name, 1) end as b
 from supplier join customer on s_nationkey = c_nationkey)""")
 def tri_state_match(spark, sf_dir):
-    pairs = table(spark, sf_dir, "supplier").join(table(spark, sf_dir, "customer"), F.col("s_nationkey") == F.col("c_nationkey"))
-    a, b = (F.when(F.col(f"{x}_acctbal") < 0, "").otherwise(F.right(F.col(f"{x}_name"), F.lit(1))) for x in "sc")
-    return pairs.select("s_suppkey", "c_custkey", features.tri_state(a, b).alias("match"))
+    end = lambda x: F.when(F.col(f"{x}_acctbal") < 0, "").otherwise(F.right(F.col(f"{x}_name"), F.lit(1)))
+    s = table(spark, sf_dir, "supplier").select(F.col("s_nationkey").alias("nation"), "s_suppkey", end("s").alias("a"))
+    c = table(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("nation"), "c_custkey", end("c").alias("b"))
+    sizes = s.groupBy("nation").agg(F.count("*").alias("n")).join(c.groupBy("nation").agg(F.count("*").alias("m")), "nation").select("nation", (F.col("n") * F.col("m")).alias("pairs"))
+    # customers are the many
+    pairs = dealt_join(c, s, ["nation"], sizes, "c_custkey")
+    return pairs.select("s_suppkey", "c_custkey", features.tri_state(F.col("a"), F.col("b")).alias("match"))
 
 
 # --- blocking ------------------------------------------------------------------------------------

@@ -86,3 +86,13 @@ def test_measures_are_taken_once_for_equal_texts(spark, copied, monkeypatch, nam
     assert core.part_pairs(spark, d, m=core.F.uuid()).agg(core.F.countDistinct("m"), core.F.count("*")).first()[:] == (4, 1770)
     got = core.QUERIES[name](spark, d)
     assert plain(got.collect()) == plain(c.execute(core.ORACLE_SQL[name]).fetchdf()[got.columns].itertuples(index=False, name=None))
+
+
+def test_pairs_of_one_key_are_made_in_many_tasks(spark, copied, monkeypatch):
+    """One task made all 2,000."""
+    c, d = copied
+    monkeypatch.setattr(core, "PAIRS_A_TASK", 100)
+    got = core.QUERIES["tri_state_match"](spark, d)
+    tasks = [r["count"] for r in got.groupBy(core.F.spark_partition_id()).count().collect()]
+    assert sum(tasks) == 2000 and max(tasks) <= 1000
+    assert plain(got.collect()) == plain(c.execute(core.ORACLE_SQL["tri_state_match"]).fetchdf()[got.columns].itertuples(index=False, name=None))
