@@ -34,9 +34,16 @@ def term_counts(docs: DataFrame, low: int = 3, high: int = 4) -> DataFrame:
     return docs.select("entity_id", "part", F.explode(padded_ngrams(F.col("text"), low, high)).alias("gram")).groupBy("entity_id", "part", "gram").agg(F.count("*").alias("tf"))
 
 
-def idf_table(counts: DataFrame, sizes: DataFrame) -> DataFrame:
+def document_counts(counts: DataFrame, copies: DataFrame | None = None) -> DataFrame:
+    """(part, gram, df) of term counts or weights; with ``copies`` (entity_id, copies) a row stands for so many."""
+    if copies is None:
+        return counts.groupBy("part", "gram").agg(F.count("*").alias("df"))
+    return counts.join(copies, "entity_id").groupBy("part", "gram").agg(F.sum("copies").alias("df"))
+
+
+def idf_table(counts: DataFrame, sizes: DataFrame, copies: DataFrame | None = None) -> DataFrame:
     """(part, gram, idf): ln((1 + N) / (1 + df)) + 1. ``sizes`` has part, n."""
-    df = counts.groupBy("part", "gram").agg(F.count("*").alias("df"))
+    df = document_counts(counts, copies)
     return df.join(sizes, "part").select("part", "gram", (F.log((1.0 + F.col("n")) / (1.0 + F.col("df"))) + 1.0).alias("idf"))
 
 
@@ -55,30 +62,46 @@ def fit_weights(docs: DataFrame, low: int = 3, high: int = 4) -> DataFrame:
 def nearest(left: DataFrame, right: DataFrame, *, k: int = 30, least: float = 0.12, ngram_range: tuple[int, int] = (3, 4), max_df: int | None = None) -> DataFrame:
     """(s1_id, candidate_id, similarity): for each left row its ``k`` nearest right rows of the same part.
 
-    Both sides are (entity_id, part, text); idf is over both. Pairs are found by a join on n-grams within a part,
-    without those of a left row's commonest n-grams that together weigh too little to reach ``least``: no pair
+    Both sides are (entity_id, part, text), an id once on a side; idf is over all rows of both. Equal texts of a part are one class,
+    searched once for all rows that have it. Pairs of classes are found by a join on n-grams within a part,
+    without those of a left class's commonest n-grams that together weigh too little to reach ``least``: no pair
     is lost by that, and the commonest n-grams are joined least. ``max_df``
     leaves grams in more rows than that out altogether, for tables where they would still dominate.
     Similarities are rounded to 6 places before ranking, ties by id.
     """
     low, high = ngram_range
     both = left.withColumn("side", F.lit(1)).unionByName(right.withColumn("side", F.lit(2)))
-    sides = both.select("entity_id", "side")
-    w = fit_weights(both.drop("side"), low, high)
+    name = F.concat_ws(":", F.col("side").cast("string"), F.col("entity_id").cast("string"))
+    sides = [F.max(F.col("side") == n).alias(f"_in_{n}") for n in (1, 2)]
+    classes = both.groupBy("part", "text").agg(F.min(name).alias("entity_id"), F.count("*").alias("copies"), *sides)
+    copies = classes.select("entity_id", "copies")
+    counts = term_counts(classes, low, high)
+    w = weights(counts, idf_table(counts, classes.where("text <> ''").groupBy("part").agg(F.sum("copies").alias("n")), copies))
     if max_df is not None:
-        common = w.groupBy("part", "gram").agg(F.count("*").alias("df")).where(F.col("df") > max_df)
-        w = w.join(common, ["part", "gram"], "left_anti")
-    w = w.join(sides, "entity_id")
-    a = w.where("side = 1").select(F.col("entity_id").alias("s1_id"), "part", "gram", F.col("w").alias("wa"))
-    b = w.where("side = 2").select(F.col("entity_id").alias("candidate_id"), "part", "gram", F.col("w").alias("wb"))
+        w = w.join(document_counts(w, copies).where(F.col("df") > max_df), ["part", "gram"], "left_anti")
+    w = w.join(classes.select("entity_id", "_in_1", "_in_2"), "entity_id")
+    a = w.where("_in_1").select(F.col("entity_id").alias("_left"), "part", "gram", F.col("w").alias("wa"))
+    b = w.where("_in_2").select(F.col("entity_id").alias("_right"), "part", "gram", F.col("w").alias("wb"))
     # what a row's common n-grams add up to is less than the norm of their weights
-    df = w.groupBy("part", "gram").agg(F.count("*").alias("df"))
-    common_first = Window.partitionBy("s1_id").orderBy(F.col("df").desc(), "gram").rowsBetween(Window.unboundedPreceding, 0)
+    df = document_counts(w)
+    common_first = Window.partitionBy("_left").orderBy(F.col("df").desc(), "gram").rowsBetween(Window.unboundedPreceding, 0)
     rare = a.join(df, ["part", "gram"]).withColumn("_mass", F.sum(F.col("wa") * F.col("wa")).over(common_first)).where(F.col("_mass") >= (least * 0.999999) ** 2 if least > 0 else F.lit(True))
-    pairs = rare.select("s1_id", "part", "gram").join(b.select("candidate_id", "part", "gram"), ["part", "gram"]).select("s1_id", "candidate_id").distinct()
-    sims = pairs.join(a, "s1_id").join(b, ["candidate_id", "part", "gram"]).groupBy("s1_id", "candidate_id").agg(F.round(F.sum(F.col("wa") * F.col("wb")), 6).alias("similarity"))
-    order = Window.partitionBy("s1_id").orderBy(F.col("similarity").desc(), "candidate_id")
-    return sims.where(F.col("similarity") >= least).withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= k).drop("_rank")
+    pairs = rare.select("_left", "part", "gram").join(b.select("_right", "part", "gram"), ["part", "gram"]).select("_left", "_right").distinct()
+    sims = pairs.join(a, "_left").join(b, ["_right", "part", "gram"]).groupBy("_left", "_right").agg(F.round(F.sum(F.col("wa") * F.col("wb")), 6).alias("similarity"))
+    sims = sims.where(F.col("similarity") >= least)
+
+    def first(df: DataFrame, by: str, *order: Column | str) -> DataFrame:
+        return df.withColumn("_rank", F.row_number().over(Window.partitionBy(by).orderBy(*order))).where(F.col("_rank") <= k).drop("_rank")
+
+    def members(side: DataFrame, id_name: str, class_name: str) -> DataFrame:
+        return side.select(F.col("entity_id").alias(id_name), "part", "text").join(classes.select("part", "text", F.col("entity_id").alias(class_name)), ["part", "text"]).select(id_name, class_name)
+
+    targets = first(members(right, "candidate_id", "_right"), "_right", "candidate_id")
+    # each class has a row, its first one, so that only a left class's first k classes can have one of its k nearest rows
+    heads = sims.join(targets.groupBy("_right").agg(F.min("candidate_id").alias("_head")), "_right")
+    near = first(heads, "_left", F.col("similarity").desc(), "_head").drop("_head").join(targets, "_right")
+    found = first(near, "_left", F.col("similarity").desc(), "candidate_id")
+    return found.join(members(left, "s1_id", "_left"), "_left").select("s1_id", "candidate_id", "similarity")
 
 
 def pair_cosine(pairs: DataFrame, weights_left: DataFrame, weights_right: DataFrame, name: str) -> DataFrame:

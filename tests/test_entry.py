@@ -96,3 +96,17 @@ def test_pairs_of_one_key_are_made_in_many_tasks(spark, copied, monkeypatch):
     tasks = [r["count"] for r in got.groupBy(core.F.spark_partition_id()).count().collect()]
     assert sum(tasks) == 2000 and max(tasks) <= 1000
     assert plain(got.collect()) == plain(c.execute(core.ORACLE_SQL["tri_state_match"]).fetchdf()[got.columns].itertuples(index=False, name=None))
+
+
+def test_neighbours_of_equal_texts_are_searched_once(spark, tmp_path, monkeypatch):
+    """N-grams of 4 texts in 2 nations, not of 280 rows; more copies than neighbours are asked for, so ties are cut by id."""
+    c = duckdb.connect()
+    c.execute("create table supplier as select i as s_suppkey, 'Shop ' || ['alpha', 'beta'][1 + i % 2] as s_name, i % 3 % 2 as s_nationkey from range(60) r(i)")
+    c.execute("create table customer as select i as c_custkey, 'Shop ' || ['alpha', 'alphas', 'beta', 'gamma'][1 + i % 4] as c_name, i % 5 % 2 as c_nationkey from range(220) r(i)")
+    for t in ("supplier", "customer"):
+        c.execute(f"copy {t} to '{tmp_path}/{t}.parquet' (format parquet)")
+    searched, counts = [], core.tfidf.term_counts
+    monkeypatch.setattr(core.tfidf, "term_counts", lambda docs, *a: searched.append(docs) or counts(docs, *a))
+    got = core.QUERIES["tfidf_knn"](spark, str(tmp_path))
+    assert got.count() == 60 * 30 and [d.count() for d in searched] == [8]
+    assert plain(got.collect()) == plain(c.execute(core.ORACLE_SQL["tfidf_knn"]).fetchdf()[got.columns].itertuples(index=False, name=None))
