@@ -64,7 +64,8 @@ def dedup_lines(docs: DataFrame, *, min_docs: int = 10, min_chars: int = 1, heav
     drops = hit.groupBy(*row).agg(F.collect_set("pos").alias("_drop"))
     # the split is below the join, so that the lambda further up indexes a column
     split = docs.select("*", *ids, F.split(F.coalesce("text", F.lit("")), "\n").alias("_lines")).drop("text")
-    out = split.join(drops, row, "left").withColumn("_drop", F.coalesce("_drop", F.array().cast("array<int>")))
+    # texts pass by the positions, which are few, and are not sorted: a task holds one text at a time
+    out = split.join(drops.hint("shuffle_hash"), row, "left").withColumn("_drop", F.coalesce("_drop", F.array().cast("array<int>")))
     left = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), "_drop")
     kept = F.transform(left, lambda i: F.get("_lines", i))
     out = out.withColumns(

@@ -292,3 +292,12 @@ def test_empty_tables(empty):
         assert digest(empty).count() == 0
     pytest.importorskip("public_tokenizers")
     assert bpe.digest(empty).count() == 0
+
+
+def test_line_dedup_does_not_sort_texts(spark):
+    """Texts were sorted to meet the positions to drop, and lay in the executors' memory."""
+    docs = spark.createDataFrame([(i, f"Same line\nown {i}") for i in range(12)], "doc_id long, text string")
+    out = line_dedup.dedup_lines(docs)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin [_row0" not in plan
+    assert {r["text"] for r in out.collect()} == {f"own {i}" for i in range(12)}
