@@ -181,3 +181,15 @@ def test_pre_rank(spark, records):
     kept = model.pre_rank(pairs, prepare_records(s1), prepare_records(s2), keep=1)
     assert pairs_of(kept) >= {("S1-1", "S2-1")} and kept.count() == 3
     assert math.isclose(model.threshold_grid()[-1], 0.85) and len(model.threshold_grid()) == 27
+
+
+def test_trees_are_fitted_on_few_partitions(spark, monkeypatch):
+    """Every job ran over each shuffle partition, however few rows it had."""
+    rows = spark.range(300).selectExpr("id % 7 / 7.0 as x", "cast(id % 7 > 3 as double) as label").repartition(9).persist()
+    seen, fit = [], model.Pipeline.fit
+    monkeypatch.setattr(model.Pipeline, "fit", lambda self, df: seen.append(df.rdd.getNumPartitions()) or fit(self, df))
+    fitted = model.fit_trees(rows, ["x"], trees=2, step=0.5, depth=2)
+    assert {r["label"] == (r["probability"] > 0.5) for r in model.probability(fitted, rows).collect()} == {True}
+    monkeypatch.setattr(model, "ROWS_A_PART", 100)
+    model.fit_trees(rows, ["x"], trees=1, step=0.5, depth=2)
+    assert seen == [1, 3]
