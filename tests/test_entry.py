@@ -110,3 +110,23 @@ def test_neighbours_of_equal_texts_are_searched_once(spark, tmp_path, monkeypatc
     got = core.QUERIES["tfidf_knn"](spark, str(tmp_path))
     assert got.count() == 60 * 30 and [d.count() for d in searched] == [8]
     assert plain(got.collect()) == plain(c.execute(core.ORACLE_SQL["tfidf_knn"]).fetchdf()[got.columns].itertuples(index=False, name=None))
+
+
+@pytest.mark.parametrize("name", ["pair_features", "gbt_pair_scores"])
+def test_records_go_to_keys_not_to_pairs(spark, tmp_path, monkeypatch, name):
+    """The left record went with each of its pairs; keys with many pairs are dealt out."""
+    c = duckdb.connect()
+    c.execute("""create table documents as select i as doc_id, 'acme ' || ['bolt', 'rod', 'gear'][1 + i // 3 % 3] || chr(10) || i || ' old mill road, building ' || (i * 7 % 11) as text, 'en' as lang from range(60) r(i)""")
+    c.execute(f"copy documents to '{tmp_path}/documents.parquet' (format parquet)")
+    monkeypatch.setattr(core.features, "PAIRS_A_GROUP", 300)
+    monkeypatch.setattr(core.model, "fit_trees", lambda *a, **k: None)
+    monkeypatch.setattr(core.model, "probability", lambda fitted, rows: rows.withColumn("probability", core.F.lit(0.0)))
+    frame = type(spark.range(0))
+    asked, dealt, measure, deal = [], [], core.features.pair_features, frame.repartition
+    monkeypatch.setattr(core.features, "pair_features", lambda pairs, left, right: asked.append((pairs, left, right)) or measure(pairs, left, right))
+    monkeypatch.setattr(frame, "repartition", lambda df, *a: dealt.append(df) or deal(df, *a))
+    core.QUERIES[name](spark, str(tmp_path))
+    pairs, left, right = asked[0]
+    assert pairs.count() == 20 * 40 and len(dealt) == 2 and sum(df.count() for df in dealt) < 300
+    got = measure(pairs, left, right)
+    assert plain(got.collect()) == plain(measure(pairs.drop("key"), left, right).select(got.columns).collect())
