@@ -6,7 +6,7 @@ import dataclasses
 import functools
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import similarity as S
@@ -175,6 +175,9 @@ pp as (select a.p_partkey as a_key, b.p_partkey as b_key, a.t as a, b.t as b fro
 #: Pairs that a task makes; a key with more goes to several tasks.
 PAIRS_A_TASK = 4_000_000
 
+#: Pairs of texts whose measures are sent to all executors: some 10 MB for each measure.
+TEXT_PAIRS_HELD = 1_000_000
+
 
 def dealt_join(left: DataFrame, right: DataFrame, on: list[str], sizes: DataFrame, spread: str) -> DataFrame:
     """Inner join on ``on``, in tasks of about ``PAIRS_A_TASK`` pairs however common a key is.
@@ -193,17 +196,32 @@ def dealt_join(left: DataFrame, right: DataFrame, on: list[str], sizes: DataFram
 def part_pairs(spark: SparkSession, sf_dir: str, **measures: Column) -> DataFrame:
     """All pairs of parts of one brand and size, with ``measures`` of their texts ``a`` and ``b``.
 
-    Measures are taken of the different texts of a brand and size, once for all pairs of parts that have them.
+    Measures are taken once for two texts: if few texts are found again and again, of all pairs of them, which then are looked
+    up for each pair of parts; or else of the different texts of a brand and size.
     """
     p = table(spark, sf_dir, "part").select("p_brand", "p_size", "p_partkey", F.concat_ws(" ", "p_name", "p_type").alias("t"))
     group = ["p_brand", "p_size"]
     counts = p.groupBy(*group, "t").agg(F.count("*").alias("n"))
-    texts = counts.select(*group, "t")
+    texts, cores = counts.select(*group, "t"), spark.sparkContext.defaultParallelism
+    known = counts.groupBy("t").agg(F.count("*").alias("groups"))
+    a = p.select(*group, F.col("p_partkey").alias("a_key"), F.col("t").alias("a"))
+    b = p.select(*group, F.col("p_partkey").alias("b_key"), F.col("t").alias("b"))
+    n = known.count()
+    if n * n <= TEXT_PAIRS_HELD and n * n <= (texts.groupBy(group).count().agg(F.sum(F.col("count") * F.col("count"))).first()[0] or 0):
+        # n is small, so that they may be counted in one task
+        ids = known.select("t", F.row_number().over(Window.orderBy("t")).alias("k"))
+        both = ids.select(F.col("t").alias("a"), F.col("k").alias("a_id")).repartition(cores, "a_id").crossJoin(F.broadcast(ids.select(F.col("t").alias("b"), F.col("k").alias("b_id"))))
+        measured = both.select("a_id", "b_id", *[m.alias(name) for name, m in measures.items()])
+        lists = measured.groupBy("a_id").agg(F.array_sort(F.collect_list(F.struct("b_id", *measures))).alias("_of"))
+        lists = lists.select("a_id", *[F.col("_of")[name].alias(name) for name in measures])
+        a, b = (x.join(F.broadcast(ids.select(F.col("t").alias(side), F.col("k").alias(f"{side}_id"))), side).drop(side) for x, side in ((a, "a"), (b, "b")))
+        sizes = p.groupBy(*group).agg((F.count("*") * F.count("*")).alias("pairs"))
+        pairs = dealt_join(a, b, group, sizes, "a_key").where("a_key < b_key").join(F.broadcast(lists), "a_id")
+        return pairs.select("a_key", "b_key", *[F.element_at(name, F.col("b_id")).alias(name) for name in measures])
     # spread, as a few rows of text can make many pairs
-    both = texts.withColumnRenamed("t", "a").join(texts.withColumnRenamed("t", "b"), group).repartition(spark.sparkContext.defaultParallelism)
+    both = texts.withColumnRenamed("t", "a").join(texts.withColumnRenamed("t", "b"), group).repartition(cores)
     measured = both.select(*group, "a", "b", *[m.alias(name) for name, m in measures.items()])
-    a = p.select(*group, F.col("p_partkey").alias("a_key"), F.col("t").alias("a")).join(measured, [*group, "a"]).drop("a")
-    b = p.select(*group, F.col("p_partkey").alias("b_key"), F.col("t").alias("b"))
+    a = a.join(measured, [*group, "a"]).drop("a")
     sizes = counts.join(counts.groupBy(group).agg(F.sum("n").alias("all")), group).select(*group, F.col("t").alias("b"), (F.col("n") * F.col("all")).alias("pairs"))
     return dealt_join(a, b, [*group, "b"], sizes, "a_key").where("a_key < b_key").select("a_key", "b_key", *measures)
 

@@ -88,6 +88,21 @@ def test_measures_are_taken_once_for_equal_texts(spark, copied, monkeypatch, nam
     assert plain(got.collect()) == plain(c.execute(core.ORACLE_SQL[name]).fetchdf()[got.columns].itertuples(index=False, name=None))
 
 
+@pytest.mark.parametrize("name", ["char_ngram_similarity", "jaro_winkler_pairs", "token_ratios"])
+def test_measures_are_taken_once_for_texts_of_many_groups(spark, tmp_path, monkeypatch, name):
+    """They were taken again in each of 20 brands."""
+    c = duckdb.connect()
+    c.execute("create table part as select i as p_partkey, ['red bolt', 'hot rod', 'old gear'][1 + i % 3] as p_name, 'B' || i // 6 as p_brand, 'LARGE' as p_type, 1 as p_size from range(120) r(i)")
+    c.execute(f"copy part to '{tmp_path}/part.parquet' (format parquet)")
+    taken = core.part_pairs(spark, str(tmp_path), m=core.F.uuid())
+    assert taken.agg(core.F.countDistinct("m") <= 9, core.F.count("*")).first()[:] == (True, 20 * 15)
+    got = core.QUERIES[name](spark, str(tmp_path))
+    want = plain(c.execute(core.ORACLE_SQL[name]).fetchdf()[got.columns].itertuples(index=False, name=None))
+    assert plain(got.collect()) == want
+    monkeypatch.setattr(core, "TEXT_PAIRS_HELD", 8)
+    assert plain(core.QUERIES[name](spark, str(tmp_path)).collect()) == want
+
+
 def test_pairs_of_one_key_are_made_in_many_tasks(spark, copied, monkeypatch):
     """One task made all 2,000."""
     c, d = copied
