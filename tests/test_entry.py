@@ -145,3 +145,19 @@ def test_records_go_to_keys_not_to_pairs(spark, tmp_path, monkeypatch, name):
     assert pairs.count() == 20 * 40 and len(dealt) == 2 and sum(df.count() for df in dealt) < 300
     got = measure(pairs, left, right)
     assert plain(got.collect()) == plain(measure(pairs.drop("key"), left, right).select(got.columns).collect())
+
+
+def test_neighbours_of_different_texts_are_compared_in_tiles(spark, tmp_path, monkeypatch):
+    """N-grams that all names have were joined: 60 x 150 rows a nation for each of them."""
+    c = duckdb.connect()
+    for t, k, n in (("supplier", "supp", 120), ("customer", "cust", 300)):
+        c.execute(f"create table {t} as select i as {k[0]}_{k}key, printf('{t}#%09d', i * 37) || case when i % 9 = 0 then ' aa aa' else '' end as {k[0]}_name, i % 2 as {k[0]}_nationkey from range({n}) r(i)")
+        c.execute(f"copy {t} to '{tmp_path}/{t}.parquet' (format parquet)")
+    want = plain(c.execute(core.ORACLE_SQL["tfidf_knn"]).fetchdf().itertuples(index=False, name=None))
+    monkeypatch.setattr(core.tfidf, "CELLS", 500)
+    for texts in (20_000, 50):
+        monkeypatch.setattr(core.tfidf, "TEXTS_A_TILE", texts)
+        got = core.QUERIES["tfidf_knn"](spark, str(tmp_path))
+        assert plain(got.collect()) == want
+        plan = got._jdf.queryExecution().optimizedPlan().toString()
+        assert not [x for x in plan.splitlines() if "Join" in x and "gram" in x]
