@@ -179,3 +179,21 @@ def test_a_right_text_is_read_once_for_all_left_texts(monkeypatch):
     monkeypatch.setattr(S, "lcs_many", lambda some, right: passes.append(right) or many(some, right))
     assert S.ratios([(a, b) for a in texts]) == [2 * plain_lcs(a, b) / (len(a) + len(b)) for a in texts]
     assert passes == [b]
+
+
+def test_measures_of_many_pairs_equal_those_of_one(monkeypatch):
+    """Letters are numbered once a text and tokens split once a text, not for each pair; letters out of reach are taken one by one."""
+    import random
+
+    from knotwork.functions import similarity as S
+
+    r = random.Random(5)
+    texts = ["".join(r.choices(letters, [r.random() + 0.01 for _ in letters], k=r.randint(1, 90))) for letters in ("ab", "abcd ", "aé日𝒳 ") for _ in range(12)] + ["a" * 20 + "z", "z" + "a" * 20]
+    pairs = [(a, b) for a in texts for b in texts]
+    monkeypatch.setattr(S, "_LONG", 0)
+    numbered, letters = [], S._Letters
+    monkeypatch.setattr(S, "_Letters", lambda t, alphabet: numbered.append(t) or letters(t, alphabet))
+    assert S.jaro_winklers(pairs) == [S.jaro_winkler(*p) for p in pairs]
+    assert sorted(numbered) == sorted(set(texts))
+    assert S.token_set_ratios(pairs) == [S.token_set_ratio(*p) for p in pairs]
+    assert S.lcs("xaaay", "bababab") == S.lcs("bababab", "xaaay") == 3
